@@ -729,14 +729,14 @@ def all_lanes(spark, sf):
     file = F.col("file").cast("string")
     plain = F.concat(file, F.lit(".json"))
     office = lanes.office_lane(t.blocks(spark, sf))
+    office_lane = F.when(F.col("origin") == fv.PPTX_ORIGIN, "pptx").otherwise("docx")
     office_name = F.concat(F.lit("d"), file, F.lit(".json"))
     transformed = F.concat(F.lit("transformed_"), file, F.lit(".json"))
     csv = lanes.csv_lane(t.csv_texts(spark, sf), "doc", "text")
     return [
         index.index_rows(lanes.text_lane(t.texts(spark, sf), "doc", "text"), "txt", plain, seven),
         index.index_rows(lanes.pdf_lane(t.pages(spark, sf)), "pdf", F.concat("origin", F.lit(".json")), seven),
-        index.index_rows(office.where(F.col("origin") == fv.DOCX_ORIGIN), "docx", office_name, seven),
-        index.index_rows(office.where(F.col("origin") == fv.PPTX_ORIGIN), "pptx", office_name, seven),
+        index.index_rows(office, office_lane, office_name, seven),
         index.index_rows(csv, "csv", transformed, seven, F.col("row_no") + 1),
         index.index_rows(lanes.sheet_lane(sheet_records(spark, sf)), "xls", transformed, seven, F.col("row_no")),
         index.index_rows(lanes.xml_lane(t.xml_docs(spark, sf), "doc", "xml"), "xml", plain, seven),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exposcan.functions.text import lines_of
+from exposcan.session import spread, with_once
 from exposcan.sources.markup import page_text
 
 EXTENSIONS = ["txt", "PDF", "", "exe", "docx", "Csv", "json", "jpg", "xlsx", "xml", "tar", "md"]
@@ -22,7 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +126,8 @@ def csv_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat((i + 1).cast("string"), F.lit(","), contact, F.lit(","), note)
 
     body = F.array_join(F.transform(lines_of(F.col("text")), record), "\n")
-    return texts(spark, sf_dir).select("doc", F.concat(F.lit('line_no,contact,"note, text"\n'), body).alias("text"))
+    csv = F.concat(F.lit('line_no,contact,"note, text"\n'), body)
+    return with_once(texts(spark, sf_dir), csv=csv).select("doc", F.col("csv").alias("text"))
 
 
 CONTACT = "CASE WHEN length(line) % 2 = 0 THEN 'c' || line_no || '@' || source || '.example.org' ELSE '' END"
@@ -146,10 +148,11 @@ def _escape(text: Column) -> Column:
 
 def xml_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc, xml``: the text in markup, with an attribute, a comment and a second node."""
-    return texts(spark, sf_dir).select("doc", F.concat(
+    xml = F.concat(
         F.lit('<?xml version="1.0"?>\n<d a="1>0"><!-- note --><p>'), _escape(F.col("text")),
         F.lit("</p><s>"), F.col("source"), F.lit("</s></d>"),
-    ).alias("xml"))
+    )
+    return with_once(texts(spark, sf_dir), xml=xml).select("doc", "xml")
 
 
 LEGAL = r"regexp_replace(text, '[\x00-\x08\x0b\x0c\x0e-\x1f\x{FFFE}\x{FFFF}]', '', 'g')"

@@ -50,6 +50,8 @@ PPTX_ORIGIN = "PPTX Archive"
 
 # Later lanes overwrite earlier ones in the index.
 LANE_ORDER = ["txt", "pdf", "docx", "pptx", "csv", "xls", "xml"]
+# Lanes whose provenance starts with an origin of their own.
+KEYED_LANES = ["txt", "pdf", "docx", "pptx"]
 
 # --- Fixed values: record layouts -------------------------------------------------------
 

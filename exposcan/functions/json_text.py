@@ -40,9 +40,14 @@ def _lower_escapes(quoted: Column) -> Column:
 
 def json_quote(text: Column) -> Column:
     """A JSON string as Python's ``json.dumps`` writes it: ASCII only, lower-case escapes."""
-    listed = F.to_json(F.array(text), _ASCII)
-    quoted = F.substring(listed, F.lit(2), F.length(listed) - 2)
-    return F.replace(_lower_escapes(quoted), F.lit("\x7f"), F.lit("\\u007f"))
+
+    def python_style(quoted: Column) -> Column:
+        return F.replace(_lower_escapes(quoted), F.lit("\x7f"), F.lit("\\u007f"))
+
+    unlisted = lambda listed: F.substring(listed, F.lit(2), F.length(listed) - 2)
+    return let(let(F.to_json(F.array(text)), unlisted), lambda plain: F.when(
+        plain.rlike(r"[^ -~]|\\u"), let(let(F.to_json(F.array(text), _ASCII), unlisted), python_style)
+    ).otherwise(plain))
 
 
 def python_json_text(compact: Column) -> Column:

@@ -14,10 +14,13 @@ from exposcan.operators.dedup import dedup_by_id, lane_rank
 ORDER = ["lane", "file", "seq"]
 
 
-def index_rows(found: DataFrame, lane: str, json_name: Column, id_source: Column, seq: Column | None = None) -> DataFrame:
+def index_rows(
+    found: DataFrame, lane: str | Column, json_name: Column, id_source: Column, seq: Column | None = None
+) -> DataFrame:
     """A lane's findings as index rows, with the order in which they are written."""
-    keyed = lane in ("txt", "pdf", "docx", "pptx")
-    provenance = ids.keyed_provenance(F.col("origin"), json_name) if keyed else json_name
+    named = F.lit(lane) if isinstance(lane, str) else lane
+    keyed = named.isin(fv.KEYED_LANES)
+    provenance = F.when(keyed, ids.keyed_provenance(F.col("origin"), json_name)).otherwise(json_name)
     return found.select(
         "id",
         ids.normalise_email(F.col("email")).alias("email"),
@@ -25,7 +28,7 @@ def index_rows(found: DataFrame, lane: str, json_name: Column, id_source: Column
         ids.email_domain(F.col("email")).alias("domain"),
         provenance.alias("from"),
         id_source.cast("int").alias("id_source"),
-        lane_rank(F.lit(lane)).alias("lane"),
+        lane_rank(named).alias("lane"),
         F.col("file").cast("string").alias("file"),
         (F.lit(0) if seq is None else seq).cast("bigint").alias("seq"),
     )

@@ -21,6 +21,17 @@ def _checkpoint_folder(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal out the rows of a small scan so that every core gets some.
+
+    A few large row groups would leave cores idle during extraction. Scans with several splits
+    per core, which is every large one, are left alone: their texts are never shuffled. For
+    plain scans only, as counting the splits of a shuffled plan would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < 4 * cores else scan
+
+
 def with_once(frame: DataFrame, **columns: Column) -> DataFrame:
     """Add costly columns so that they are computed once per row.
 
