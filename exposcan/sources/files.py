@@ -34,10 +34,10 @@ def list_files(spark: SparkSession, directory: str) -> DataFrame:
 
 def read_texts(spark: SparkSession, directory: str, glob: str | None = None) -> DataFrame:
     """``path, text``: whole files (up to 2 GB each), undecodable bytes dropped."""
-    reader = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true")
+    reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.text(directory).select(
+    return reader.text(directory, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), valid_utf8(F.col("value")).alias("text")
     )
 
