@@ -183,7 +183,7 @@ def emails_in_context(text: Column, radius: int, pattern: AddressPattern = RFC)
     def windows(pieces: Column) -> Column:
         tails = F.transform(pieces, lambda p: F.right(p, F.lit(radius)))
         heads = F.transform(pieces, lambda p: F.left(p, F.lit(radius)))
-        matches = F.sequence(F.lit(1), F.floor(F.size(pieces) / 2).cast("int") - 1)
+        matches = F.sequence(F.lit(1), F.floor(F.size(pieces) / 2).cast("int"))
         return let(F.struct(tails.alias("tails"), heads.alias("heads")), lambda cut: F.transform(
             matches, lambda i: _window(i, pieces, cut["tails"], cut["heads"])))
 
@@ -201,13 +201,22 @@ def emails_in_context(text: Column, radius: int, pattern: AddressPattern = RFC)
             let(take(near), lambda t: F.when(F.length(t) >= radius, t).otherwise(take(far)))
         )
 
-    def pieces(emails: Column) -> Column:
-        return F.flatten(F.zip_with(_between(text, pattern), emails, lambda g, m: F.array(g, m)))
-
     empty = F.array().cast("array<struct<pos:int,email:string,before:string,after:string>>")
-    return let(find_all(text, pattern), lambda emails: F.when(
-        F.size(emails) > 0, let(pieces(emails), windows)
-    ).otherwise(empty))
+    return F.when(text.contains("@"), let(_pieces(text, pattern), lambda pieces: F.when(
+        F.size(pieces) > 1, windows(pieces)
+    ).otherwise(empty))).otherwise(empty)
+
+
+# A noncharacter: no text for interchange holds it. Texts that do are cut in two passes.
+_MARK = chr(0xFDD0)
+
+
+def _pieces(text: Column, pattern: AddressPattern) -> Column:
+    """What lies between matches and the matches, in turn, by marking them in one pass."""
+    marked = _choose(text, pattern, lambda p: F.regexp_replace(text, p, f"{_MARK}$0{_MARK}"))
+    paired = F.flatten(F.zip_with(_between(text, pattern), find_all(text, pattern), lambda g, m: F.array(g, m)))
+    twice = F.slice(paired, F.lit(1), F.size(paired) - 1)
+    return F.when(text.contains(_MARK), twice).otherwise(F.split(marked, _MARK, -1))
 
 
 def _back(tails: Column, at: Column, width: int, radius: int) -> Column:

@@ -41,9 +41,14 @@ def presence_any(rows: DataFrame, file: str, *tests: Column) -> DataFrame:
 def sniff_csv(lines: DataFrame) -> DataFrame:
     """``doc`` of the csv files to keep, from ``doc, line_no, line``."""
     head = lines.where(F.col("line_no") <= fv.HEAD_LINES)
-    header = (F.col("line_no") == 1) & F.exists(csv_cells(F.col("line")), _is_contact_header)
-    verdicts = presence_any(head, "doc", header, has_email(F.col("line"), RELAXED))
-    return verdicts.where("present").select(F.col("file").alias("doc"))
+    written = F.regexp_replace("line", r"\A\x{FEFF}", "").rlike(r"[^ \t]")
+    verdicts = head.groupBy("doc").agg(
+        F.bool_or(has_email(F.col("line"), RELAXED)).alias("present"),
+        F.min_by(F.when(written, F.col("line")), F.when(written, F.col("line_no"))).alias("header"),
+    )
+    header = csv_cells(F.regexp_replace("header", r"\A\x{FEFF}", ""))
+    contact = F.coalesce(F.exists(header, _is_contact_header), F.lit(False))
+    return verdicts.where(F.col("present") | contact).select("doc")
 
 
 def has_contact_header(fields: Column) -> Column:

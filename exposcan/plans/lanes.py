@@ -17,14 +17,16 @@ from exposcan.functions.emails import RFC, emails_in_context, rfc_emails, valid_
 from exposcan.functions.json_text import python_json
 from exposcan.functions.line_contexts import line_contexts
 from exposcan.functions.markup import xml_text
-from exposcan.functions.tabular import clean_values, csv_records, first_email_field, record_context
+from exposcan.functions.tabular import (
+    clean_values, csv_cells, csv_columns, csv_fields, csv_records, first_email_field, record_context,
+)
 from exposcan.functions.text import fold_sizes, lines_of, newline_to_space, strip, stripped_size
-from exposcan.operators.dedup import last_per_email
+from exposcan.operators.dedup import first_per_email, last_per_email
 from exposcan.operators.joins import keep_qualified, salted_join
-from exposcan.operators.ordered import CHUNK, fold_documents
+from exposcan.operators.ordered import CHUNK, fold_documents, head_n
 from exposcan.operators.routing import is_identity_title
 from exposcan.operators.sniff import (
-    digital_extension, has_contact_header, office_digital_blocks, sniff_csv_text, sniff_xml_text,
+    digital_extension, has_contact_header, office_digital_blocks, sniff_csv, sniff_csv_text, sniff_xml_text,
 )
 from exposcan.session import materialise, with_once
 
@@ -71,9 +73,12 @@ def text_lane(files: DataFrame, file: str, text: str, seen: DataFrame | None = N
 
 
 def big_text_lane(lines: DataFrame) -> DataFrame:
-    """Findings of text files of any size, from ``path, line_no, line``; copies are not dropped."""
-    found = line_findings(lines, "path", "line_no")
-    first = found.groupBy("path", "email").agg(F.min_by("email_context", "line_no").alias("email_context"))
+    """Findings of text files of any size, from split lines; copies of files are not dropped.
+
+    Lines are ordered by their split and place, so the files are read once and never numbered.
+    """
+    found = line_findings(lines, "path", "block", "place")
+    first = first_per_email(found, ["path", "email"], ["block", "place"], F.col("email_context"))
     return first.select(
         F.col("path").alias("file"),
         "email",
@@ -185,6 +190,27 @@ def csv_lane(files: DataFrame, file: str, text: str) -> DataFrame:
     return record_findings(records, whole_cell=False).withColumn("origin", F.lit(""))
 
 
+def big_csv_lane(lines: DataFrame) -> DataFrame:
+    """Findings of csv files of any size, from split lines; a record may not span lines.
+
+    The first ten lines of each file give header and verdict; a second reading keeps only the
+    lines with an address. Those lines move only if the headers are too many to broadcast.
+    """
+    head = materialise(head_n(lines.where(F.col("block") == 0), "path", "place", fv.HEAD_LINES))
+    kept = sniff_csv(head.select(F.col("path").alias("doc"), F.col("rank").alias("line_no"), "line"))
+    columns = csv_columns(F.col("line"))
+    headers = head.where(F.col("rank") == 1).select(
+        "path", F.col("place").alias("header_place"), columns.alias("columns"), F.size(csv_cells(F.col("line"))).alias("width")
+    ).join(kept.select(F.col("doc").alias("path")), "path", "left_semi")
+    rows = salted_join(lines.where(F.col("line").contains("@")), headers, ["path"], "inner", ["block", "place"])
+    records = rows.where(F.col("place") != F.col("header_place")).select(
+        F.col("path").alias("file"),
+        F.struct("block", "place").alias("row_no"),
+        csv_fields(F.col("columns"), F.col("width"), F.col("line")).alias("fields"),
+    )
+    return record_findings(records, whole_cell=False).withColumn("origin", F.lit(""))
+
+
 def sheet_lane(records: DataFrame) -> DataFrame:
     """Findings of sheets, from ``file, row_no, fields``.
 

@@ -42,21 +42,29 @@ def read_texts(spark: SparkSession, directory: str, glob: str | None = None) ->
     )
 
 
-def read_big_lines(spark: SparkSession, directory: str, glob: str | None = None) -> DataFrame:
-    """``path, line_no, line`` of files of any size, read in splits.
+def read_split_lines(spark: SparkSession, directory: str, glob: str | None = None) -> DataFrame:
+    """``path, block, place, line`` of files of any size, read in splits and once.
 
-    Lines are numbered per split and shifted by the line counts of the splits before. Only
-    the counts, one row per split, are ordered per file.
+    ``block`` is where the split starts in its file and ``place`` grows within it, so the two
+    order the lines of a file without counting them.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    lines = reader.text(directory).select(
+    return reader.text(directory).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"),
         valid_utf8(F.col("value")).alias("line"),
     )
+
+
+def number_lines(lines: DataFrame) -> DataFrame:
+    """``path, line_no, line`` from split lines.
+
+    Lines are numbered within their split and shifted by the line counts of the splits before.
+    Only the counts, one row per split, are ordered per file.
+    """
     blocks = lines.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("place").alias("first"))
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select(

@@ -39,7 +39,7 @@ def universal(text):
 
 
 def test_patterns_equal_python(spark):
-    tokens = ["a", "b", ".", "@", '"', "\\", "[", "]", " ", "é", "中", "\n", "\r", "|", "%", "co", "a@b.cc", '"x"@y.z', "😀", "<", "-", "..", "@@"]
+    tokens = ["a", "b", ".", "@", '"', "\\", "[", "]", " ", "é", "$1", chr(0xFDD0), "中", "\n", "\r", "|", "%", "co", "a@b.cc", '"x"@y.z', "😀", "<", "-", "..", "@@"]
     texts = texts_of(tokens, 8000, 30, 1)
     c = F.col("t")
     rows = frame(spark, texts).select(

@@ -249,9 +249,10 @@ def test_files_and_lines(spark, tmp_path):
     assert rows(fs.read_lines(whole, "path", "text").select("line_no", "line"), "line_no") == [(1, "one"), (2, "two a@b.cc"), (3, "three")]
     spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
     try:
-        lines = fs.read_big_lines(spark, str(tmp_path), "big.txt")
+        lines = fs.read_split_lines(spark, str(tmp_path), "big.txt")
         assert lines.select(F.spark_partition_id()).distinct().count() > 1
-        assert rows(lines.select("line_no", "line"), "line_no") == [(n + 1, line) for n, line in enumerate(big.splitlines())]
+        numbered = fs.number_lines(lines)
+        assert rows(numbered.select("line_no", "line"), "line_no") == [(n + 1, line) for n, line in enumerate(big.splitlines())]
         found = lanes.big_text_lane(lines)
         assert found.count() == 3000
         assert found.where("email = 'u7@example.com'").first().origin == "big.txt"
@@ -259,6 +260,22 @@ def test_files_and_lines(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_big_csv_equals_whole_csv(spark, tmp_path):
+    for n, header in enumerate(['\n', 'id,"note, x",b\n', "id,Email\n", "id,x\n"]):
+        body = "".join(f'{i},"say ""{i}"" to u{i}@example.com",é{i},more\n' if i % 3 == 0 else f"{i},plain\n" for i in range(n // 3 * 12, 900))
+        (tmp_path / f"f{n}.csv").write_text(header + body)
+    (tmp_path / "late.csv").write_text("id,x\n" + "1,2\n" * 10 + "1,u@example.com\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        lines = fs.read_split_lines(spark, str(tmp_path), "*.csv")
+        big = lanes.big_csv_lane(lines).select("file", "email", "email_context", "id")
+        whole = lanes.csv_lane(fs.read_texts(spark, str(tmp_path), "*.csv"), "path", "text").select("file", "email", "email_context", "id")
+        got = sorted(map(tuple, big.collect()))
+        assert len(got) > 600 and got == sorted(map(tuple, whole.collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_findings_unique_after_index(spark):
     texts = [(n, f"user{n % 7}@Example.com line {n % 3}") for n in range(60)]
     files = spark.createDataFrame(texts, "doc int, text string")
