@@ -801,14 +801,15 @@ def _(spark, sf):
     return spark.read.parquet(path).select(*fv.FINDING_FIELDS)
 
 
-# The second batch replaces the contexts of some ids.
+# The second batch repeats the whole first one, some ids with a new context.
 @query("k2_upsert_findings", f"""SELECT id, email, CASE WHEN email LIKE '%2@%' THEN 'new' ELSE email_context END AS email_context, domain, "from", id_source FROM (
  SELECT *, row_number() OVER (PARTITION BY id ORDER BY file DESC) AS n FROM ({FINDINGS})) WHERE n = 1""")
 def _(spark, sf):
     root = f"{folder(spark)}/index"
     rows = findings(spark, sf)
     sinks.upsert_findings(rows, root, sinks.RAW, index.ORDER)
-    second = rows.where(F.col("email").like("%2@%")).withColumn("email_context", F.lit("new"))
+    changed = F.when(F.col("email").like("%2@%"), "new").otherwise(F.col("email_context"))
+    second = rows.withColumn("email_context", changed)
     sinks.upsert_findings(second, root, sinks.RAW, index.ORDER)
     return sinks.read_findings(spark, root)
 

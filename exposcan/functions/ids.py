@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from exposcan.functions.text import strip
+
 
 def finding_id_text(email: Column, context: Column) -> Column:
     return F.sha1(F.concat(email, F.lit("_"), context))
@@ -61,9 +63,14 @@ def alnum_id(value: Column) -> Column:
 
 
 def iso_utc(moment: Column) -> Column:
-    """ISO-8601 in UTC without zone; the fraction appears only when there is one."""
-    whole = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
-    fraction = F.date_format(moment, "SSSSSS")
+    """ISO-8601 in UTC without zone; the fraction appears only when there is one.
+
+    A moment with a zone is moved to UTC, one without is taken to be UTC.
+    """
+    moved = F.to_utc_timestamp(moment, F.current_timezone())
+    utc = F.when(F.typeof(moment) == "timestamp_ntz", moment.cast("timestamp")).otherwise(moved)
+    whole = F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss")
+    fraction = F.date_format(utc, "SSSSSS")
     return F.when(fraction == "000000", whole).otherwise(F.concat(whole, F.lit("."), fraction))
 
 
@@ -73,11 +80,5 @@ def utc_now_iso() -> Column:
 
 def parse_int(text: Column) -> Column:
     """Integer or 0, for text as an ``int()`` call reads it."""
-    digits = F.regexp_replace(strip_digits(text), "_", "")
-    return F.coalesce(F.try_cast(digits, "int") if hasattr(F, "try_cast") else digits.try_cast("int"), F.lit(0))
-
-
-def strip_digits(text: Column) -> Column:
-    from exposcan.functions.text import strip
-
-    return F.regexp_extract(strip(text), r"\A[+-]?[0-9]++(?:_[0-9]++)*+\z", 0)
+    digits = F.regexp_extract(strip(text), r"\A[+-]?[0-9]++(?:_[0-9]++)*+\z", 0)
+    return F.coalesce(F.replace(digits, F.lit("_")).try_cast("int"), F.lit(0))

@@ -10,7 +10,7 @@ from exposcan.functions.ids import empty_to_null
 from exposcan.functions.json_text import json_block, one_json_value
 from exposcan.operators.report import run_report
 from exposcan.session import with_once
-from exposcan.sources.findings_json import _value
+from exposcan.sources.findings_json import value_or_empty
 
 
 def has_identity(row_name: Column, row_id: Column) -> Column:
@@ -33,7 +33,7 @@ def judge_replies(replies: DataFrame, image: str, reply: str) -> DataFrame:
         replied.select("file", "members"), info=F.from_json(F.col("members")["Information"], "map<string,string>")
     )
     fields = parsed.select(
-        "file", "members", "info", *[_value(F.col("info"), name).alias(name) for name in fv.IDENTITY_FIELDS]
+        "file", "members", "info", *[value_or_empty(F.col("info"), name).alias(name) for name in fv.IDENTITY_FIELDS]
     )
     status = (
         F.when(F.col("members").isNull(), "error")

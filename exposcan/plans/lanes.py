@@ -68,7 +68,7 @@ def text_lane(files: DataFrame, file: str, text: str, seen: DataFrame | None = N
         "email",
         "email_context",
         ids.finding_id_text(F.col("email"), F.col("email_context")).alias("id"),
-        F.col("file").cast("string").alias("origin"),
+        ids.base_name(F.col("file").cast("string")).alias("origin"),
     )
 
 

@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 def _checkpoint_folder(spark: SparkSession) -> None:
     """Use the shared folder the cluster names; a folder of our own only for local runs."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
+    named, current = spark.conf.get("spark.checkpoint.dir", None), context.getCheckpointDir()
+    if named is not None:
+        if current is None or named.rstrip("/") not in current:
+            context.setCheckpointDir(named)
+    elif current is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="exposcan-")
-    context.setCheckpointDir(folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="exposcan-"))
 
 
 def spread(scan: DataFrame) -> DataFrame:

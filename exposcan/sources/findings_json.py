@@ -14,7 +14,7 @@ from exposcan.functions.text import let
 _OBJECTS = "map<string,map<string,string>>"
 
 
-def _value(item: Column, key: str) -> Column:
+def value_or_empty(item: Column, key: str) -> Column:
     """The value under ``key``; empty when the key is missing, null when it is null."""
     return F.when(F.map_contains_key(item, F.lit(key)), item[key]).otherwise(F.lit(""))
 
@@ -32,16 +32,16 @@ def read_keyed_findings(files: DataFrame, file: str, json: str) -> DataFrame:
     return _entries(files, file, json).select(
         "file",
         "email",
-        _value(details, "email_context").alias("email_context"),
-        _value(details, "ID").alias("id"),
-        _value(details, "FROM").alias("origin"),
+        value_or_empty(details, "email_context").alias("email_context"),
+        value_or_empty(details, "ID").alias("id"),
+        value_or_empty(details, "FROM").alias("origin"),
     )
 
 
 def read_object_findings(files: DataFrame, file: str, json: str) -> DataFrame:
     """``file, email, email_context, id`` of ``{email: {email_context}}``; the id is computed."""
     rows = _entries(files, file, json).select(
-        "file", "email", _value(F.col("details"), "email_context").alias("email_context")
+        "file", "email", value_or_empty(F.col("details"), "email_context").alias("email_context")
     )
     # A null context hashes as the word a Python format string writes for it.
     context = F.coalesce(F.col("email_context"), F.lit("None"))
@@ -74,5 +74,5 @@ def read_identity_json(files: DataFrame, file: str, json: str) -> DataFrame:
     information = let(members, lambda m: F.from_json(m["Information"], "map<string,string>"))
     rows = files.select(F.col(file).alias("file"), information.alias("info")).where(F.col("info").isNotNull())
     return rows.select(
-        "file", *[_value(F.col("info"), name).alias(name) for name in fv.IDENTITY_FIELDS]
+        "file", *[value_or_empty(F.col("info"), name).alias(name) for name in fv.IDENTITY_FIELDS]
     )
