@@ -43,9 +43,12 @@ def line_findings(lines: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def text_lane(files: DataFrame, file: str, text: str, seen: DataFrame | None = None) -> DataFrame:
+def text_lane(
+    files: DataFrame, file: str, text: str, seen: DataFrame | None = None, sha1: str | None = None
+) -> DataFrame:
     """Findings of text files, equal contents read once.
 
+    ``sha1`` names the column with the hash of a file's bytes; without it the text is hashed.
     Equal contents have equal findings, so copies are dropped in the same aggregate that keeps
     the first line of each address: one shuffle, of findings only, combined map-side.
     """
@@ -53,7 +56,7 @@ def text_lane(files: DataFrame, file: str, text: str, seen: DataFrame | None = N
         files.where(F.col(text).contains("@"))
         .select(
             F.col(file).alias("file"),
-            ids.content_sha1(F.col(text)).alias("sha1"),
+            (F.col(sha1) if sha1 else ids.content_sha1(F.col(text))).alias("sha1"),
             F.posexplode(lines_of(F.col(text))).alias("line_no", "line"),
         )
     )
@@ -181,9 +184,13 @@ def record_findings(records: DataFrame, whole_cell: bool, keep: Sequence[str] =
     )
 
 
-def csv_lane(files: DataFrame, file: str, text: str) -> DataFrame:
-    """Findings of csv texts. Everything is row by row: no shuffle."""
-    kept = files.where(sniff_csv_text(F.col(text)))
+def csv_lane(files: DataFrame, file: str, text: str, decodable: str | None = None) -> DataFrame:
+    """Findings of csv texts. Everything is row by row: no shuffle.
+
+    ``decodable`` names the column that tells whether the file decoded; the others are left out.
+    """
+    readable = files.where(F.col(decodable)) if decodable else files
+    kept = readable.where(sniff_csv_text(F.col(text)))
     records = kept.select(
         F.col(file).alias("file"), F.posexplode(csv_records(F.col(text))).alias("row_no", "fields")
     )

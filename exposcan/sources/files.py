@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from exposcan.functions.ids import base_name, file_ext
+from exposcan.functions.ids import base_name, content_sha1, file_ext
 from exposcan.functions.text import lines_of, valid_utf8
 
 SUFFIXES = {
@@ -33,12 +33,18 @@ def list_files(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def read_texts(spark: SparkSession, directory: str, glob: str | None = None) -> DataFrame:
-    """``path, text``: whole files (up to 2 GB each), undecodable bytes dropped."""
+    """``path, text, sha1, decodable``: whole files (up to 2 GB each).
+
+    Undecodable bytes are dropped from the text; the hash is of the bytes as they are.
+    """
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.text(directory, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), valid_utf8(F.col("value")).alias("text")
+        F.col("_metadata.file_path").alias("path"),
+        valid_utf8(F.col("value")).alias("text"),
+        content_sha1(F.col("value")).alias("sha1"),
+        F.is_valid_utf8("value").alias("decodable"),
     )
 
 

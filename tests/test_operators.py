@@ -260,6 +260,18 @@ def test_files_and_lines(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_bytes_decide_copies_and_csv_decoding(spark, tmp_path):
+    for name, content in (("a.txt", b"u@example.com\xff"), ("b.txt", b"u@example.com\xff"), ("c.txt", b"u@example.com"),
+                          ("good.csv", b"name\nu@example.com\n"), ("bad.csv", b"name\nu@example.com\xff\n")):
+        (tmp_path / name).write_bytes(content)
+    texts = fs.read_texts(spark, str(tmp_path), "*.txt")
+    assert rows(lanes.text_lane(texts, "path", "text", sha1="sha1").select("origin"), "origin") == [("a.txt",), ("c.txt",)]
+    assert rows(lanes.text_lane(texts, "path", "text").select("origin")) == [("a.txt",)]
+    tables = fs.read_texts(spark, str(tmp_path), "*.csv")
+    found = lanes.csv_lane(tables, "path", "text", "decodable").select("file").collect()
+    assert [r.file.rsplit("/")[-1] for r in found] == ["good.csv"]
+
+
 def test_big_csv_equals_whole_csv(spark, tmp_path):
     for n, header in enumerate(['\n', 'id,"note, x",b\n', "id,Email\n", "id,x\n"]):
         body = "".join(f'{i},"say ""{i}"" to u{i}@example.com",é{i},more\n' if i % 3 == 0 else f"{i},plain\n" for i in range(n // 3 * 12, 900))
