@@ -674,8 +674,7 @@ P4 = f"""SELECT file, row_no, email, email_context, sha1(lower(email) || email_c
 
 @query("p4_csv_lane", P4)
 def _(spark, sf):
-    found_rows = lanes.csv_lane(t.csv_texts(spark, sf), "doc", "text")
-    return found_rows.withColumn("row_no", (F.col("row_no") + 1).cast("bigint"))
+    return lanes.csv_lane(t.csv_texts(spark, sf), "doc", "text")
 
 
 SHEET_KEPT = f"(SELECT doc FROM {RECORDS} WHERE line_no <= 10 AND (contact <> '' OR regexp_matches(note, {X1})))"
@@ -737,7 +736,7 @@ def all_lanes(spark, sf):
         index.index_rows(lanes.text_lane(t.texts(spark, sf), "doc", "text"), "txt", plain, seven),
         index.index_rows(lanes.pdf_lane(t.pages(spark, sf)), "pdf", F.concat("origin", F.lit(".json")), seven),
         index.index_rows(office, office_lane, office_name, seven),
-        index.index_rows(csv, "csv", transformed, seven, F.col("row_no") + 1),
+        index.index_rows(csv, "csv", transformed, seven, F.col("row_no")),
         index.index_rows(lanes.sheet_lane(sheet_records(spark, sf)), "xls", transformed, seven, F.col("row_no")),
         index.index_rows(lanes.xml_lane(t.xml_docs(spark, sf), "doc", "xml"), "xml", plain, seven),
     ]

@@ -70,23 +70,6 @@ def csv_fields(columns: Column, width: Column, record: Column) -> Column:
     return let(csv_cells(record), fields)
 
 
-def csv_records(text: Column) -> Column:
-    """Every record of a csv text as an array of field arrays; the first row names the columns."""
-
-    def records(rows: Column) -> Column:
-        header = rows[0]
-        return let(csv_columns(header), lambda columns: let(
-            F.size(csv_cells(header)),
-            lambda width: F.transform(
-                F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0))),
-                lambda r: csv_fields(columns, width, r),
-            ),
-        ))
-
-    empty = F.array().cast(f"array<{FIELDS}>")
-    return let(csv_rows(text), lambda rows: F.when(F.size(rows) > 1, records(rows)).otherwise(empty))
-
-
 def clean_values(fields: Column) -> Column:
     return F.transform(fields, lambda f: F.struct(
         f["name"].alias("name"), newline_to_space(f["value"]).alias("value"), f["raw"].alias("raw")))

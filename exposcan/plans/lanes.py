@@ -17,9 +17,7 @@ from exposcan.functions.emails import RFC, emails_in_context, rfc_emails, valid_
 from exposcan.functions.json_text import python_json
 from exposcan.functions.line_contexts import line_contexts
 from exposcan.functions.markup import xml_text
-from exposcan.functions.tabular import (
-    clean_values, csv_cells, csv_columns, csv_fields, csv_records, first_email_field, record_context,
-)
+from exposcan.functions.tabular import clean_values, csv_cells, csv_columns, first_email_field, record_context
 from exposcan.functions.text import fold_sizes, lines_of, newline_to_space, strip, stripped_size
 from exposcan.operators.dedup import first_per_email, last_per_email
 from exposcan.operators.joins import keep_qualified, salted_join
@@ -29,6 +27,7 @@ from exposcan.operators.sniff import (
     digital_extension, has_contact_header, office_digital_blocks, sniff_csv, sniff_csv_text, sniff_xml_text,
 )
 from exposcan.session import materialise, with_once
+from exposcan.sources.records import csv_record_texts, cut_records
 
 FINDING = ["file", "email", "email_context", "id", "origin"]
 
@@ -191,10 +190,8 @@ def csv_lane(files: DataFrame, file: str, text: str, decodable: str | None = Non
     """
     readable = files.where(F.col(decodable)) if decodable else files
     kept = readable.where(sniff_csv_text(F.col(text)))
-    records = kept.select(
-        F.col(file).alias("file"), F.posexplode(csv_records(F.col(text))).alias("row_no", "fields")
-    )
-    return record_findings(records, whole_cell=False).withColumn("origin", F.lit(""))
+    records = csv_record_texts(kept, file, text).where(F.col("record").contains("@"))
+    return record_findings(cut_records(records), whole_cell=False).withColumn("origin", F.lit(""))
 
 
 def big_csv_lane(lines: DataFrame) -> DataFrame:
@@ -213,9 +210,11 @@ def big_csv_lane(lines: DataFrame) -> DataFrame:
     records = rows.where(F.col("place") != F.col("header_place")).select(
         F.col("path").alias("file"),
         F.struct("block", "place").alias("row_no"),
-        csv_fields(F.col("columns"), F.col("width"), F.col("line")).alias("fields"),
+        F.col("line").alias("record"),
+        "columns",
+        "width",
     )
-    return record_findings(records, whole_cell=False).withColumn("origin", F.lit(""))
+    return record_findings(cut_records(records), whole_cell=False).withColumn("origin", F.lit(""))
 
 
 def sheet_lane(records: DataFrame) -> DataFrame:

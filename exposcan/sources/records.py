@@ -6,14 +6,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from exposcan.functions.tabular import csv_records
+from exposcan.functions.tabular import csv_cells, csv_columns, csv_fields, csv_rows
+from exposcan.session import with_once
+
+
+def csv_record_texts(files: DataFrame, file: str, text: str) -> DataFrame:
+    """``file, row_no, record, columns, width``: records of csv texts, not yet cut into cells."""
+    read = with_once(files.select(F.col(file).alias("file"), F.col(text).alias("text")), rows=csv_rows(F.col("text")))
+    header = F.get("rows", F.lit(0))
+    return (
+        read.select("file", "rows", csv_columns(header).alias("columns"), F.size(csv_cells(header)).alias("width"))
+        .select("file", "columns", "width", F.posexplode("rows").alias("pos", "record"))
+        .where(F.col("pos") > 0)
+        .select("file", F.col("pos").cast("bigint").alias("row_no"), "record", "columns", "width")
+    )
+
+
+def cut_records(rows: DataFrame) -> DataFrame:
+    """``file, row_no, fields`` of record texts under their columns."""
+    fields = csv_fields(F.col("columns"), F.col("width"), F.col("record"))
+    return rows.select("file", "row_no", fields.alias("fields"))
 
 
 def read_records(files: DataFrame, file: str, text: str) -> DataFrame:
     """Records of csv texts, each under its own header, without a shuffle."""
-    return files.select(
-        F.col(file).alias("file"), F.posexplode(csv_records(F.col(text))).alias("pos", "fields")
-    ).select("file", (F.col("pos") + 1).cast("bigint").alias("row_no"), "fields")
+    return cut_records(csv_record_texts(files, file, text))
 
 
 def sheet_records(table: DataFrame, file: Column, row_no: Column, columns: list[str]) -> DataFrame:

@@ -19,6 +19,7 @@ from exposcan.functions import line_contexts as lc
 from exposcan.functions import markup as mk
 from exposcan.functions import tabular as tab
 from exposcan.functions import text as tx
+from exposcan.sources.records import read_records
 
 
 def texts_of(tokens, count, length, seed):
@@ -83,11 +84,12 @@ def test_line_contexts_use_first_occurrence(spark, monkeypatch, direct_work):
 def test_csv_and_json_equal_python(spark):
     tokens = ["a", "b", ",", ",", '"', '""', "\n", "\n", " ", "é", "a@b.cc", "\\", "\r\n", "name", '","']
     texts = texts_of(tokens, 6000, 25, 3)
-    records = tab.csv_records(F.col("t"))
-    rows = frame(spark, texts).select("i", F.transform(records, js.python_json).alias("j")).collect()
-    for r in rows:
-        expected = [json.dumps(d) for d in csv.DictReader(io.StringIO(universal(texts[r.i])))]
-        assert r.j == expected, texts[r.i]
+    rows = read_records(frame(spark, texts), "i", "t").select("file", "row_no", js.python_json(F.col("fields")).alias("j"))
+    got = {}
+    for r in sorted(rows.collect(), key=lambda r: (r.file, r.row_no)):
+        got.setdefault(r.file, []).append(r.j)
+    for i, text in enumerate(texts):
+        assert got.get(i, []) == [json.dumps(d) for d in csv.DictReader(io.StringIO(universal(text)))], text
 
 
 def test_json_text(spark):
@@ -165,7 +167,7 @@ def test_mask_removes_every_address(spark):
 
 def test_record_fields(spark):
     text = 'id,first,second\n1,Ann <a@example.com>,b@example.com\n'
-    df = spark.createDataFrame([(text,)], "t string").select(F.explode(tab.csv_records(F.col("t"))).alias("f"))
+    df = read_records(spark.createDataFrame([("x", text)], "i string, t string"), "i", "t").withColumnRenamed("fields", "f")
     first = df.select(tab.first_email_field(F.col("f"), whole_cell=False).alias("v")).first()["v"]
     whole = df.select(tab.first_email_field(F.col("f"), whole_cell=True).alias("v")).first()["v"]
     assert tuple(first) == ("first", "a@example.com")
