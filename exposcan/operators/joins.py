@@ -25,9 +25,13 @@ def salted_join(
 
 
 def attach_source(findings: DataFrame, sources: DataFrame) -> DataFrame:
-    """Findings of registered sources, each with its source's columns."""
+    """Findings of registered sources, each with its source's columns.
+
+    All columns spread a hot source, as findings that are not yet merged may share an id.
+    """
     dimension = sources.withColumnRenamed("id", "id_source")
-    return salted_join(findings, dimension, ["id_source"], "inner", ["id"])
+    others = [c for c in findings.columns if c != "id_source"]
+    return salted_join(findings, dimension, ["id_source"], "inner", others)
 
 
 def keep_qualified(rows: DataFrame, files: DataFrame, key: str, spread: list[str]) -> DataFrame:
