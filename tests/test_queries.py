@@ -7,8 +7,9 @@ import re
 import pyarrow.parquet as pq
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from checks.compare import connect, difference
+from checks.queries import ORACLE, QUERIES
 from exposcan import fixed_values as fv
 
 SF = "/root/testdata/sf0.001"
@@ -20,17 +21,17 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    frame = queries()[name](spark, SF)
+    frame = QUERIES[name](spark, SF)
     if name in ROWS_ONLY:
         assert frame.count() > 0
     else:
-        assert difference(frame, con, oracle_sql()[name]) is None
+        assert difference(frame, con, ORACLE[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
 
 
 def test_entry_equals_a_plain_reading(spark):
