@@ -1,5 +1,178 @@
-"""SQL for the registered queries that it can express."""
+"""SQL for the registered queries that it can express.
+
+None for op1, op4, op5, op9 and the pipeline: SQL walks no automaton, learns no partitions and trains
+no models.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from exposcan.llm.licenses import BAND, BASE, COVERED, RUN, STRETCH, WORDINGS
+from exposcan.llm.mixing import KEPT, POWERS, ROUNDS, SCALINGS
+from exposcan.llm.urls import RULES
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SPACED = r"'[^\x20\x09-\x0D]+'"
+ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+
+def words(pattern: str, lower: bool = True, text: str = "text") -> str:
+    text = f"coalesce({text}, '')"
+    return f"regexp_extract_all({f"translate({text}, '{UPPER}', '{LOWER}')" if lower else text}, {pattern})"
+
+
+def values(rows) -> str:
+    return ", ".join("(" + ", ".join(repr(v).replace('"', "'") if isinstance(v, str) else str(v) for v in row) + ")" for row in rows)
+
+
+LICENSES = f"""
+WITH d AS (SELECT doc_id, {words(ALNUM)} AS ws FROM documents),
+phrases(wording, label, exact, phrase) AS (VALUES {values([*((k, v, True, p) for k, (p, v) in enumerate(BASE.items())), *((k + 100, v, False, p) for k, (p, v) in enumerate(WORDINGS.items()))])}),
+split AS (SELECT wording, label, exact, string_split(phrase, ' ') AS pw FROM phrases),
+runs AS (
+  SELECT wording, label, exact, len(pw) - {RUN - 1} AS runs, i - 1 AS place, array_to_string(pw[i:i + {RUN - 1}], ' ') AS run
+  FROM split, unnest(range(1, len(pw) - {RUN - 2})) AS t(i)
+),
+grams AS (SELECT doc_id, i - 1 AS pos, array_to_string(ws[i:i + {RUN - 1}], ' ') AS run FROM d, unnest(range(1, len(ws) - {RUN - 2})) AS t(i)),
+votes AS (
+  SELECT doc_id, wording, label, exact, runs, pos - place AS diagonal, list(DISTINCT place) AS places
+  FROM grams JOIN runs USING (run) GROUP BY ALL
+),
+opened AS (
+  SELECT *, CASE WHEN exact OR lag(diagonal) OVER side IS NULL OR diagonal - lag(diagonal) OVER side > {BAND} THEN 1 ELSE 0 END AS opens
+  FROM votes WINDOW side AS (PARTITION BY doc_id, wording ORDER BY diagonal)
+),
+numbered AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id, wording ORDER BY diagonal) AS span FROM opened),
+spans AS (
+  SELECT doc_id, wording, label, exact, runs, span, len(list_distinct(flatten(list(places)))) AS held,
+         min(diagonal + list_min(places)) AS start, max(diagonal + list_max(places) + {RUN}) AS stop
+  FROM numbered GROUP BY ALL
+),
+found AS (
+  SELECT *, held / runs AS share FROM spans
+  WHERE CASE WHEN exact THEN held = runs ELSE held / runs >= {COVERED} AND stop - start <= {STRETCH} * (runs + {RUN - 1}) END
+),
+per_doc AS (
+  SELECT doc_id, count(*) FILTER (WHERE exact) AS n_base, min(start) FILTER (WHERE exact) AS first_word, max(start) FILTER (WHERE exact) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE exact) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM found GROUP BY doc_id
+)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
+FROM d LEFT JOIN per_doc USING (doc_id)
+"""
+
+URLS = rf"""
+WITH p AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+),
+r(verdict, host, path) AS (VALUES {values(RULES)})
+SELECT page_id, p.host AS host, p.path AS path, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+       coalesce(arg_max(r.verdict, length(r.host || r.path)), 'allow') AS verdict
+FROM p LEFT JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+GROUP BY page_id, p.host, p.path
+"""
+
+JACCARD = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {words(SPACED)} AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS k
+  FROM d, unnest(range(1, greatest(len(ws) - 3, 2))) AS t(i) WHERE len(ws) > 0
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_ AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.k = y.k AND x.doc_id < y.doc_id GROUP BY ALL),
+pairs AS (
+  SELECT a, b FROM both_ JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)
+),
+links AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+reach(node, other) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reach ON node = doc_id GROUP BY ALL
+"""
+
+MIX_TEXT = "coalesce(text, '')"
+
+
+def _mixing() -> str:
+    steps = [f"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, source, lang, coalesce('=' || source, '') AS s, coalesce('=' || lang, '') AS l,
+         CASE WHEN contains({MIX_TEXT}, 'icense') THEN 'legal' WHEN contains({MIX_TEXT}, '@') THEN 'contact'
+              WHEN contains({MIX_TEXT}, ' | ') THEN 'table' ELSE 'prose' END AS topic, len({words(SPACED, lower=False)}) AS n_tokens
+  FROM documents
+),
+f0 AS MATERIALIZED (SELECT s, l, topic, sum(n_tokens)::BIGINT AS tokens, sum(n_tokens)::DOUBLE AS w FROM d GROUP BY s, l, topic HAVING sum(n_tokens) > 0)"""]
+    column = {"source": "s", "lang": "l", "topic": "topic"}
+    for name, power in POWERS.items():
+        c = column[name]
+        steps.append(f"goal_{c} AS MATERIALIZED (SELECT {c}, pow(sum(tokens), {power}) / sum(pow(sum(tokens), {power})) OVER () AS goal FROM f0 GROUP BY {c})")
+    pos = 0
+    for _ in range(ROUNDS):
+        for name in POWERS:
+            c = column[name]
+            steps.append(
+                f"f{pos + 1} AS MATERIALIZED (SELECT s, l, topic, tokens, w * goal / sum(w) OVER (PARTITION BY {c}) AS w FROM f{pos} JOIN goal_{c} USING ({c}))"
+            )
+            pos += 1
+    steps.append("c0 AS MATERIALIZED (SELECT 0.0::DOUBLE AS c)")
+    for k in range(SCALINGS):
+        full = "w / tokens * c >= 1"
+        steps.append(
+            f"c{k + 1} AS MATERIALIZED (SELECT CASE WHEN coalesce(sum(CASE WHEN {full} THEN 0 ELSE w END), 0) = 0 THEN max(c) ELSE "
+            f"({KEPT} * sum(tokens) - sum(CASE WHEN {full} THEN tokens ELSE 0 END)) / sum(CASE WHEN {full} THEN 0 ELSE w END) END AS c FROM f{pos}, c{k})"
+        )
+    steps.append(f"chance AS MATERIALIZED (SELECT s, l, topic, w, least(1.0, w / tokens * c) AS p FROM f{pos}, c{SCALINGS})")
+    steps.append("""drawn AS (
+  SELECT doc_id, source, lang, d.topic AS topic, n_tokens, round(coalesce(w, 0.0), 6)::DOUBLE AS cell_weight,
+         round(CASE WHEN n_tokens > 0 THEN p ELSE 0.0 END, 6)::DOUBLE AS probability
+  FROM d LEFT JOIN chance ON d.s = chance.s AND d.l = chance.l AND d.topic = chance.topic
+)
+SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '|mix'), 1, 8))::BIGINT / 4294967296.0::DOUBLE < probability AS kept FROM drawn""")
+    return ",\n".join(steps[:-1]) + ",\n" + steps[-1]
+
+
+def _masked(name: str, pos: str) -> str:
+    masks = ((0, 1, 2, 4, 5), (0, 1, 3, 5, 6), (0, 2, 3, 6, 7))
+    return " ".join(["CASE mask", *(f"WHEN {k} THEN concat_ws(' ', {', '.join(f'{name}[{pos} + {n + 1}]' for n in m)})" for k, m in enumerate(masks)), "END"])
+
+
+DECONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {words(ALNUM)} AS ws FROM documents WHERE doc_id IS NOT NULL),
+b AS (SELECT item_id, {words(ALNUM)} AS iw FROM benchmark WHERE item_id IS NOT NULL),
+masks AS (SELECT unnest([0, 1, 2]) AS mask),
+seeds AS (SELECT item_id, place, mask, {_masked('iw', 'place')} AS run FROM b, unnest(range(0, len(iw) - 7)) AS t(place), masks),
+grams AS (SELECT doc_id, pos, mask, {_masked('ws', 'pos')} AS run FROM d, unnest(range(0, len(ws) - 7)) AS t(pos), masks),
+hits AS (SELECT DISTINCT doc_id, item_id, pos - place AS shift, place FROM grams JOIN seeds USING (run, mask)),
+sized AS (SELECT *, least(13, len(iw)) AS size FROM hits JOIN b USING (item_id) JOIN d USING (doc_id)),
+judged AS (
+  SELECT doc_id, item_id, shift + s AS start, size AS n_window,
+         len(list_filter(range(s, s + size), lambda j: shift + j >= 0 AND coalesce(ws[shift + j + 1] = iw[j + 1], false))) AS n_equal
+  FROM sized, unnest(range(greatest(0, place + 8 - size), least(place, len(iw) - size) + 1)) AS t(s)
+),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_equal DESC, start) AS rank FROM judged WHERE n_equal >= ceil(n_window * 0.8))
+SELECT doc_id, item_id, start AS first_word, n_equal::BIGINT AS n_equal, n_window::BIGINT AS n_window FROM best WHERE rank = 1
+"""
+
+REPEATS = f"""
+WITH d AS (SELECT doc_id, {words(SPACED, lower=False)} AS ws FROM documents),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k FROM d, unnest(range(1, len(ws) - 11)) AS t(i)),
+f AS (SELECT k, min(doc_id) AS first FROM g GROUP BY k),
+hit AS (SELECT DISTINCT doc_id, i + j AS pos FROM g JOIN f USING (k), unnest(range(0, 13)) AS t(j) WHERE first < doc_id),
+w AS (SELECT doc_id, ws[i] AS word, i AS pos FROM d, unnest(range(1, len(ws) + 1)) AS t(i)),
+left_ AS (
+  SELECT doc_id, count(hit.pos) AS n_removed, string_agg(CASE WHEN hit.pos IS NULL THEN word END, ' ' ORDER BY w.pos) AS kept
+  FROM w LEFT JOIN hit USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN left_ USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_license_scan": LICENSES,
+    "op3_url_filter": URLS,
+    "op6_jaccard_groups": JACCARD,
+    "op7_mixing": _mixing(),
+    "op8_decontamination": DECONTAMINATION,
+    "op10_substring_dedup": REPEATS,
+}
