@@ -82,9 +82,11 @@ def _(spark, sf):
 @query("s3_sheet_records", """SELECT c_mktsegment AS file, c_custkey AS row_no, CAST(pos AS BIGINT) AS pos, name, value, raw FROM (
  SELECT c_mktsegment, c_custkey, 0 AS pos, 'c_custkey' AS name, CAST(c_custkey AS VARCHAR) AS value, true AS raw FROM customer
  UNION ALL SELECT c_mktsegment, c_custkey, 1, 'c_name', c_name, false FROM customer
- UNION ALL SELECT c_mktsegment, c_custkey, 2, 'c_acctbal', coalesce(CAST(nullif(c_acctbal, 73.0) AS VARCHAR), ''), c_acctbal <> 73.0 FROM customer)""")
+ UNION ALL SELECT c_mktsegment, c_custkey, 2, 'c_acctbal', CASE WHEN c_acctbal = 73.0 THEN '' ELSE CAST(
+ round(c_acctbal) * CASE c_custkey % 3 WHEN 0 THEN 1e18 WHEN 1 THEN 1e-9 ELSE 1.0 END AS VARCHAR) END, c_acctbal <> 73.0 FROM customer)""")
 def _(spark, sf):
-    c = t.table(spark, sf, "customer").withColumn("c_acctbal", F.nullif("c_acctbal", F.lit(73.0)))
+    power = F.when(F.col("c_custkey") % 3 == 0, 1e18).when(F.col("c_custkey") % 3 == 1, 1e-9).otherwise(1.0)
+    c = t.table(spark, sf, "customer").withColumn("c_acctbal", F.when(F.col("c_acctbal") != 73.0, F.round("c_acctbal") * power))
     found = records.sheet_records(c, F.col("c_mktsegment"), F.col("c_custkey"), ["c_custkey", "c_name", "c_acctbal"])
     return found.select("file", "row_no", F.posexplode("fields").alias("pos", "field")).select(
         "file", "row_no", big("pos"), "field.name", "field.value", "field.raw"
@@ -113,6 +115,8 @@ def _(spark, sf):
     none = F.lit(None).cast("string")
     second = F.struct(F.col("source").alias("email_context"), none.alias("ID"), none.alias("FROM"))
     json = F.to_json(F.create_map(F.col("address"), first, F.concat(F.lit("second@"), "lang"), second))
+    # An earlier member of the same key and one that is no object: the last counts, the odd one costs only itself.
+    json = F.concat(F.lit('{"odd@x.example":"text","second@'), "lang", F.lit('":{"email_context":"earlier"},'), F.substring(json, F.lit(2), F.length(json)))
     return fj.read_keyed_findings(tagged(spark, sf).select("doc", json.alias("json")), "doc", "json")
 
 
@@ -158,11 +162,6 @@ def _(spark, sf):
     return short(fj.read_identity_json(blocks, "image", "json"), "file")
 
 
-@query("s11_list_files")
-def _(spark, sf):
-    return fs.list_files(spark, sf).select("name", "ext", "size")
-
-
 NAMED = f"(SELECT doc_id AS doc, 'File' || doc_id || {t.cycle_sql(t.SUFFIXES, 'doc_id')} AS name FROM documents)"
 
 
@@ -282,10 +281,13 @@ def found(spark, sf, extract):
     return t.texts(spark, sf).select("doc", F.posexplode(extract(F.col("text"))).alias("pos", "email"))
 
 
-@query("f11_valid_email", f"SELECT doc, pos, email, regexp_matches(email, {STRICT}) AS valid FROM {matches(t.TEXTS, 'doc')}")
+@query("f11_valid_email", f"""SELECT doc, pos, email, regexp_matches(email, {STRICT}) AS valid FROM (
+ SELECT doc, pos, email FROM {matches(t.TEXTS, 'doc')} UNION ALL SELECT doc, -pos, email || chr(8232) FROM {matches(t.TEXTS, 'doc')})""")
 def _(spark, sf):
     rows = found(spark, sf, em.rfc_emails)
-    return rows.select("doc", (F.col("pos") + 1).cast("bigint").alias("pos"), "email", em.valid_email(F.col("email")).alias("valid"))
+    rows = rows.select("doc", (F.col("pos") + 1).cast("bigint").alias("pos"), "email")
+    ended = rows.select("doc", (-F.col("pos")).alias("pos"), F.concat("email", F.lit("\u2028")).alias("email"))
+    return rows.union(ended).withColumn("valid", em.valid_email(F.col("email")))
 
 
 @query("f12_require_identity", f"SELECT image AS file, {IDENTITY_NAMES} FROM {t.REPLIES} WHERE status IN ('skipped', 'indexed') AND (name <> '' OR number <> '')")
@@ -313,11 +315,15 @@ def _(spark, sf):
     )
 
 
-@query("f14_quarantine_bad_json", """SELECT event_id, event_type, 'bad' AS verdict FROM events WHERE event_type IN ('error', 'click')
- UNION ALL SELECT event_id, event_type, 'good' FROM events WHERE event_type NOT IN ('error', 'click')""")
+# Trailing data of all kinds is bad; repeated keys and space are not.
+BROKEN = ["{}}", "{}, {}", "{}]", "{}] junk", "1],[2", "{}", " {} ", "[1, 2]", '{{"a":1,"a":2}}', "", "{} {}", "{},"]
+GOOD = (5, 6, 7, 8)
+
+
+@query("f14_quarantine_bad_json", f"""SELECT event_id, event_type, CASE WHEN event_id % {len(BROKEN)} IN {GOOD} THEN 'good' ELSE 'bad' END AS verdict FROM events""")
 def _(spark, sf):
-    kind = F.col("event_type")
-    json = F.when(kind == "error", F.concat("props", F.lit("}"))).when(kind == "click", F.concat("props", F.lit(", {}"))).otherwise(F.col("props"))
+    forms = F.array(*[F.lit(form.replace("{}", "\x00").replace("{{", "{").replace("}}", "}")) for form in BROKEN])
+    json = F.replace(F.get(forms, (F.col("event_id") % len(BROKEN)).cast("int")), F.lit("\x00"), F.col("props"))
     good, bad = report.quarantine(t.table(spark, sf, "events").withColumn("json", json), "json")
     tag = lambda frame, verdict: frame.select("event_id", "event_type", F.lit(verdict).alias("verdict"))
     return tag(good, "good").unionByName(tag(bad, "bad"))
@@ -491,11 +497,6 @@ def _(spark, sf):
     return t.table(spark, sf, "events").select("event_id", ids.iso_utc(F.col("ts")).alias("iso"))
 
 
-@query("x20_utc_now_iso")
-def _(spark, sf):
-    return t.documents(spark, sf).select("doc_id", ids.utc_now_iso().alias("now"))
-
-
 # --- aggregation and duplicates ---------------------------------------------------------
 
 
@@ -581,10 +582,13 @@ def sources(spark, sf):
 
 
 @query("j1_attach_source", f"""SELECT x.id, x.id_source, s.post_title, s.group_name FROM (SELECT sha1(text) AS id, {SOURCE_ID} AS id_source FROM {t.TEXTS}) x
- JOIN {t.SUBMISSIONS} s ON x.id_source = s.id""")
+ JOIN {t.SUBMISSIONS} s ON x.id_source = s.id WHERE s.id <> 0""")
 def _(spark, sf):
     rows = t.texts(spark, sf).select(F.sha1("text").alias("id"), source_id().alias("id_source"))
-    return joins.attach_source(rows, sources(spark, sf)).select("id", "id_source", "post_title", "group_name")
+    # Every source is registered twice, the second time later: one row per finding stays.
+    once = sources(spark, sf)
+    again = once.withColumn("post_title", F.concat("post_title", F.lit(" (old)"))).withColumn("indexed", F.lit("2024-12-31T00:00:00"))
+    return joins.attach_source(rows, once.unionByName(again)).select("id", "id_source", "post_title", "group_name")
 
 
 @query("j2_skip_seen", f"SELECT file, sha1 FROM {KEPT_COPIES} WHERE sha1 NOT IN (SELECT sha1(text) FROM documents WHERE lang = 'en')")

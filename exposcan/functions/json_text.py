@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from exposcan.functions.text import let
+from exposcan.functions.text import let, python_float
 
 _STRICT = {"allowSingleQuotes": "false"}
 _ASCII = {"writeNonAsciiCharacterAsCodePoint": "true"}
@@ -14,19 +14,53 @@ _TOKENS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[,:]|[^",:]++'
 
 
 def one_json_value(text: Column) -> Column:
-    """The JSON value as compact text, null when the text is not exactly one JSON value.
+    """The JSON value as compact text, null when the text is not exactly one JSON value."""
+    return let(_wrapped(text), lambda w: F.when(w["whole"], w["values"][0]))
 
-    Reading it as the only element of an array also rejects trailing data.
+
+def valid_json(text: Column) -> Column:
+    return F.coalesce(let(_wrapped(text), lambda w: w["whole"]), F.lit(False))
+
+
+def _wrapped(text: Column) -> Column:
+    """The text read as an array's first element, before a mark.
+
+    The mark is a hash of the text, so no text holds its own. Only a text that is one value and nothing
+    else leaves two elements, the second being the mark.
     """
-    wrapped = F.from_json(
-        F.concat(F.lit("["), text, F.lit("]")), "array<string>", _STRICT
+    mark = F.sha1(text)
+    values = F.from_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')), "array<string>", _STRICT)
+    return let(
+        F.struct(values.alias("values"), mark.alias("mark")),
+        lambda w: F.struct(w["values"].alias("values"), ((F.size(w["values"]) == 2) & (F.get(w["values"], F.lit(1)) == w["mark"])).alias("whole")),
     )
-    return let(wrapped, lambda w: F.when(F.size(w) == 1, w[0]))
 
 
-def valid_json(text: Column) -> Column:
-    wrapped = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", _STRICT)
-    return F.coalesce(F.size(wrapped) == 1, F.lit(False))
+def last_entries(members: Column) -> Column:
+    """The entries of a map read from JSON, the last one of each key as Python keeps it."""
+
+    def latest(entries: Column) -> Column:
+        places = F.array_sort(F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("at"))))
+        kept = let(places, lambda p: F.filter(p, lambda e, i: ~F.coalesce(F.get(p, i + 1)["key"] == e["key"], F.lit(False))))
+        repeated = F.size(F.array_distinct(F.transform(entries, lambda e: e["key"]))) < F.size(entries)
+        return F.when(repeated, F.transform(kept, lambda k: F.get(entries, k["at"]))).otherwise(entries)
+
+    return let(F.map_entries(members), latest)
+
+
+def last_members(text: Column, names: list[str]) -> Column:
+    """Struct of these members of a JSON object as text: of repeated keys the last, null where missing."""
+    return F.from_json(text, ", ".join(f"`{name}` string" for name in names))
+
+
+def falsy(text: Column, name: str) -> Column:
+    """Whether Python takes this member of a JSON object for false: missing, null, false, 0 or empty."""
+    kinds = F.from_json(text, f"`{name}` string")[name]
+    empty = lambda kind: F.coalesce(F.size(F.from_json(text, f"`{name}` {kind}")[name]) == 0, F.lit(False))
+    return (
+        F.coalesce(kinds == "", F.lit(True)) | F.coalesce(F.from_json(text, f"`{name}` double")[name] == 0, F.lit(False))
+        | ~F.coalesce(F.from_json(text, f"`{name}` boolean")[name], F.lit(True)) | empty("array<string>") | empty("map<string,string>")
+    )
 
 
 def _lower_escapes(quoted: Column) -> Column:
@@ -62,10 +96,42 @@ def _python_token(token: Column) -> Column:
     return (
         F.when((token == ",") | (token == ":"), separator)
         .when(token.startswith('"') & token.rlike(r"[^ -~]|\\"), string)
+        .when(~token.startswith('"') & token.contains("E"), _numbers(token))
         .otherwise(token)
     )
 
 
+def _numbers(token: Column) -> Column:
+    """Numbers with an exponent inside a run of brackets, numbers and words."""
+    parts = F.regexp_extract_all(token, F.lit(r"-?[0-9][0-9.]*E[0-9-]+|-?[0-9][0-9.]*+(?!E)|[^0-9-]++|-"), F.lit(0))
+    return F.array_join(F.transform(parts, lambda p: F.when(p.contains("E") & p.rlike("^-?[0-9]"), python_float(p.try_cast("double"))).otherwise(p)), "")
+
+
+def python_str(compact: Column) -> Column:
+    """Compact JSON text of a list, boolean or null as Python's ``str`` writes the value."""
+    tokens = F.regexp_extract_all(compact, F.lit(_TOKENS), F.lit(0))
+    return F.array_join(F.transform(tokens, _python_repr), "")
+
+
+def _python_repr(token: Column) -> Column:
+    value = F.get_json_object(F.concat(F.lit("["), token, F.lit("]")), "$[0]")
+    for plain, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        value = F.replace(value, F.lit(plain), F.lit(written))
+    single = value.contains("'") & ~value.contains('"')
+    string = F.when(single, F.concat(F.lit('"'), value, F.lit('"'))).otherwise(
+        F.concat(F.lit("'"), F.replace(value, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    )
+    words = token
+    for json_word, python_word in (("true", "True"), ("false", "False"), ("null", "None")):
+        words = F.replace(words, F.lit(json_word), F.lit(python_word))
+    return (
+        F.when((token == ",") | (token == ":"), F.concat(token, F.lit(" ")))
+        .when(token.startswith('"'), string)
+        .when(token.contains("E"), _numbers(words))
+        .otherwise(words)
+    )
+
+
 def python_json(fields: Column) -> Column:
     """A record's fields as ``json.dumps`` writes the dict; see ``sources.records`` for fields."""
 

@@ -20,6 +20,35 @@ _BREAK = "\x00"
 _REFERENCE = r"(?s)&#[xX]?[0-9a-fA-F]++;|&(?:lt|gt|quot|apos|amp);|[^&]++|&"
 
 
+_ENTITY = r"""<!ENTITY\s+([A-Za-z_:][\w:.-]*)\s+(?:"([^"<&%]*)"|'([^'<&%]*)')\s*>"""
+
+
+def with_entities(xml: Column) -> Column:
+    """The document with its own plain entities written out.
+
+    Entities made of other entities or of markup stay; a document using one does not parse.
+    """
+    doctype = F.regexp_extract(xml, _DOCTYPE, 0)
+    column = lambda n: F.regexp_extract_all(doctype, F.lit(_ENTITY), F.lit(n))
+    entities = F.arrays_zip(column(1).alias("name"), F.zip_with(column(2), column(3), lambda a, b: F.concat(a, b)).alias("value"))
+    body = F.regexp_replace(xml, _DOCTYPE, "")
+    written = F.aggregate(entities, body, lambda text, e: F.replace(text, F.concat(F.lit("&"), e["name"], F.lit(";")), e["value"]))
+    return F.when(xml.contains("<!ENTITY"), written).otherwise(xml)
+
+
+def one_root(xml: Column) -> Column:
+    """Whether nothing opens after the first element has closed."""
+    tags = F.filter(F.regexp_extract_all(xml, F.lit(_TOKEN), F.lit(0)), lambda t: t.rlike(r"\A<[^!?]"))
+    step = lambda t: F.when(t.startswith("</"), -1).when(t.endswith("/>"), 0).otherwise(1)
+
+    def walk(state: Column, tag: Column) -> Column:
+        depth = state["depth"] + step(tag)
+        return F.struct(depth.alias("depth"), (depth <= 0).alias("closed"), (state["one"] & ~state["closed"]).alias("one"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("closed"), F.lit(True).alias("one"))
+    return F.aggregate(tags, start, walk)["one"]
+
+
 def well_formed_xml(xml: Column) -> Column:
     """Whether the document parses; anything but space after its root also fails it."""
     parsed = F.from_xml(
@@ -27,7 +56,7 @@ def well_formed_xml(xml: Column) -> Column:
         "_corrupt_record string, _none string",
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"},
     )
-    return parsed["_corrupt_record"].isNull() & xml.rlike(r">\s*+\z")
+    return parsed["_corrupt_record"].isNull() & xml.rlike(r">\s*+\z") & one_root(xml)
 
 
 def _character(reference: Column) -> Column:
@@ -81,5 +110,8 @@ def _root_tokens(tokens: Column) -> Column:
 
 def xml_text(xml: Column) -> Column:
     """All text nodes joined by one space, line ends turned into spaces; null if malformed."""
-    text = F.translate(F.array_join(text_nodes(xml), " "), "\n\r", "  ")
-    return F.when(well_formed_xml(xml), text)
+
+    def text_of(whole: Column) -> Column:
+        return F.when(well_formed_xml(whole), F.translate(F.array_join(text_nodes(whole), " "), "\n\r", "  "))
+
+    return let(with_entities(xml), text_of)

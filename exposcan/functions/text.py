@@ -103,3 +103,23 @@ def stripped_length(summary: Column) -> Column:
     return F.when(summary["blank"], F.lit(0).cast("bigint")).otherwise(
         summary["n"] - summary["lead"] - summary["trail"]
     )
+
+
+def python_float(number: Column) -> Column:
+    """A finite number as Python writes floats: positional from 1e-4 to 1e16, else ``1e+16`` or ``1.5e-05``.
+
+    The fewest digits that give the number back; the engine's own text may have one more.
+    """
+    number = number.cast("double")
+    digits = [F.format_string(f"%.{n}e", number) for n in (14, 15, 16)]
+    short = F.when(digits[0].cast("double") == number, digits[0]).when(digits[1].cast("double") == number, digits[1]).otherwise(digits[2])
+
+    def written(text: Column) -> Column:
+        positional = F.regexp_replace(text.cast("decimal(38,21)").cast("string"), r"(\.[0-9]+?)0*\z", "$1")
+        mantissa = F.regexp_replace(F.regexp_extract(text, r"\A([^e]*)e", 1), r"\.?0+\z", "")
+        return (
+            F.when(number == 0, number.cast("string")).when((F.abs(number) >= 1e-4) & (F.abs(number) < 1e16), positional)
+            .otherwise(F.concat(mantissa, F.regexp_extract(text, r"(e.*)\z", 1)))
+        )
+
+    return let(short, written)

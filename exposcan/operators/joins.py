@@ -24,14 +24,29 @@ def salted_join(
     return many.withColumn("_salt", salt).join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
+def latest_sources(sources: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One row per id, the last registered, and the rows left out of it.
+
+    Ids that were no number are registered as 0 and name no source. Equal times are settled by all columns.
+    """
+    columns = [c for c in sources.columns if c != "id"]
+    first = [c for c in ("indexed", "discovered") if c in columns]
+    order = F.struct(*first, *[c for c in columns if c not in first])
+    good = sources.where(F.col("id").isNotNull() & (F.col("id") != 0))
+    latest = good.groupBy("id").agg(F.max(order).alias("row"), F.count("*").alias("n"))
+    chosen = latest.select(*[F.col("id") if c == "id" else F.col(f"row.{c}") for c in sources.columns])
+    bad = sources.where(F.col("id").isNull() | (F.col("id") == 0))
+    older = good.join(latest.where("n > 1").select("id", "row"), "id").where(order != F.col("row")).select(*sources.columns)
+    return chosen, bad.unionByName(older)
+
+
 def attach_source(findings: DataFrame, sources: DataFrame) -> DataFrame:
-    """Findings of registered sources, each with its source's columns.
+    """Findings of registered sources, each with its source's columns: at most one row per finding.
 
-    All columns spread a hot source, as findings that are not yet merged may share an id.
+    A plain join: the engine broadcasts the sources if they are few and splits a hot source if not.
     """
-    dimension = sources.withColumnRenamed("id", "id_source")
-    others = [c for c in findings.columns if c != "id_source"]
-    return salted_join(findings, dimension, ["id_source"], "inner", others)
+    chosen, _ = latest_sources(sources)
+    return findings.join(chosen.withColumnRenamed("id", "id_source"), "id_source")
 
 
 def keep_qualified(rows: DataFrame, files: DataFrame, key: str, spread: list[str]) -> DataFrame:

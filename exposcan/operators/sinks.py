@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,38 +69,64 @@ def merge_findings(target: DataFrame, batch: DataFrame, order: list[str]) -> Dat
     return kept.unionByName(latest.select(*target.columns))
 
 
+def _folder(spark: SparkSession, root: str, name: str = ""):
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}" if name else root)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def latest_version(spark: SparkSession, root: str) -> int:
-    """The highest complete version below ``root``, 0 if there is none.
+    """The highest published version below ``root``, 0 if there is none.
 
-    A version counts once its success marker exists, so a run that died leaves no trace.
+    A version counts once its pointer file exists. This does not depend on success markers, and a run
+    that died leaves a folder that nothing points to.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    path, fs = _folder(spark, root)
     if not fs.exists(path):
         return 0
     names = [status.getPath().getName() for status in fs.listStatus(path)]
-    versions = [int(m[1]) for m in map(re.compile(r"version=(\d+)\Z").match, names) if m]
-    done = [v for v in versions if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, f"version={v}/_SUCCESS"))]
-    return max(done, default=0)
+    return max((int(m[1]) for m in map(re.compile(r"published-(\d+)\Z").match, names) if m), default=0)
 
 
 def read_findings(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/version={latest_version(spark, root)}")
+    pointer = f"{root}/published-{latest_version(spark, root)}"
+    named = spark.read.text(pointer).first()
+    if named is None:
+        raise RuntimeError(f"{pointer} is empty: its writer died while publishing; delete it to go back to the version before")
+    return spark.read.parquet(f"{root}/{named[0]}")
+
+
+def _publish(spark: SparkSession, root: str, version: int, data: str) -> None:
+    """Create the pointer, which fails if another writer has published this version."""
+    pointer, fs = _folder(spark, root, f"published-{version}")
+    try:
+        out = fs.create(pointer, False)
+    except Exception as error:
+        raise RuntimeError(f"version {version} below {root} is another writer's; run the upsert again") from error
+    out.writeBytes(data)
+    out.close()
 
 
 def upsert_findings(
     batch: DataFrame, root: str, protection: Protection | None, order: list[str], max_rows_per_file: int = 2_000_000
 ) -> int:
-    """Write the next version of the findings below ``root`` and return its number."""
+    """Write the next version of the findings below ``root`` and return its number.
+
+    The batch is written first, so it is computed once. Every folder has a new name and none is ever
+    overwritten; of two writers that start from the same version the second to finish fails.
+    """
     spark = batch.sparkSession
-    version = latest_version(spark, root)
-    rows = _protected(batch, protection, "findings")
+    version, data = latest_version(spark, root), uuid.uuid4().hex
+    rows, staged = _protected(batch, protection, "findings"), f"{root}/batch-{data}"
+    dedup_by_id(rows, order).write.mode("errorifexists").parquet(staged)
+    latest = spark.read.schema(rows.schema).parquet(staged)
     if version:
-        merged = merge_findings(read_findings(spark, root), rows, order)
+        merged = merge_findings(read_findings(spark, root), latest, order)
     else:
-        merged = dedup_by_id(rows, order).select(*fv.FINDING_FIELDS)
-    out = merged.write.mode("overwrite").option("maxRecordsPerFile", max_rows_per_file)
-    out.parquet(f"{root}/version={version + 1}")
+        merged = latest.select(*fv.FINDING_FIELDS)
+    merged.write.mode("errorifexists").option("maxRecordsPerFile", max_rows_per_file).parquet(f"{root}/data-{data}")
+    path, fs = _folder(spark, root, f"batch-{data}")
+    fs.delete(path, True)
+    _publish(spark, root, version + 1, f"data-{data}")
     return version + 1
 
 

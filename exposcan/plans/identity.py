@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from exposcan import fixed_values as fv
 from exposcan.functions.ids import empty_to_null
-from exposcan.functions.json_text import json_block, one_json_value
+from exposcan.functions.json_text import falsy, json_block, last_members, one_json_value
 from exposcan.operators.report import run_report
 from exposcan.session import with_once
-from exposcan.sources.findings_json import value_or_empty
+from exposcan.sources.findings_json import identity_fields, identity_members
 
 
 def has_identity(row_name: Column, row_id: Column) -> Column:
@@ -27,22 +27,29 @@ def judge_replies(replies: DataFrame, image: str, reply: str) -> DataFrame:
     ``error``: no JSON object, or ``Information`` is not an object; ``ignored``: no
     ``Information``; ``skipped``: neither name nor number; ``indexed``: the rest.
     """
-    members = F.from_json(one_json_value(json_block(F.col("reply"))), "map<string,string>")
-    replied = with_once(replies.select(F.col(image).alias("file"), F.col(reply).alias("reply")), members=members)
-    parsed = with_once(
-        replied.select("file", "members"), info=F.from_json(F.col("members")["Information"], "map<string,string>")
+    replied = with_once(
+        replies.select(F.col(image).alias("file"), F.col(reply).alias("reply")), json=one_json_value(json_block(F.col("reply")))
     )
-    fields = parsed.select(
-        "file", "members", "info", *[value_or_empty(F.col("info"), name).alias(name) for name in fv.IDENTITY_FIELDS]
+    parsed = with_once(
+        replied.select("file", "json"), members=F.from_json("json", "map<string,string>"),
+        text=last_members(F.col("json"), ["Information"])["Information"],
     )
+    found = parsed.select("file", "members", "text", *identity_members(F.col("text")))
+    # A name or number that Python takes for false (0, false, empty) identifies nobody; such dates are no dates.
+    false = {name: F.coalesce(falsy(F.col("text"), name), F.lit(True)) for name in ("Name", "ID Number", *fv.IDENTITY_DATES)}
+    fields = identity_fields(found, "file", "members", "text", "keys")
     status = (
         F.when(F.col("members").isNull(), "error")
         .when(~F.map_contains_key("members", F.lit("Information")), "ignored")
-        .when(F.col("info").isNull(), "error")
-        .when(~has_identity(F.col("Name"), F.col("`ID Number`")), "skipped")
+        .when(F.col("keys").isNull(), "error")
+        .when(false["Name"] & false["ID Number"], "skipped")
         .otherwise("indexed")
     )
-    return fields.select("file", status.alias("status"), *[f"`{name}`" for name in fv.IDENTITY_FIELDS])
+    dated = [
+        F.when(~false[name], F.col(f"`{name}`")).otherwise("").alias(name) if name in fv.IDENTITY_DATES else F.col(f"`{name}`")
+        for name in fv.IDENTITY_FIELDS
+    ]
+    return fields.select("file", status.alias("status"), *dated)
 
 
 def identity_records(replies: DataFrame, image: str, reply: str, id_source: Column) -> DataFrame:

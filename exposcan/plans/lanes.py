@@ -51,14 +51,14 @@ def text_lane(
     Equal contents have equal findings, so copies are dropped in the same aggregate that keeps
     the first line of each address: one shuffle, of findings only, combined map-side.
     """
-    lines = (
-        files.where(F.col(text).contains("@"))
-        .select(
-            F.col(file).alias("file"),
-            (F.col(sha1) if sha1 else ids.content_sha1(F.col(text))).alias("sha1"),
-            F.posexplode(lines_of(F.col(text))).alias("line_no", "line"),
-        )
-    )
+    # Once per file: as a plain column the optimizer would move the hash above the lines.
+    hashed = with_once(
+        files.where(F.col(text).contains("@")).select(
+            F.col(file).alias("file"), F.col(text).alias("text"), *([F.col(sha1).alias("given")] if sha1 else [])
+        ),
+        sha1=F.col("given") if sha1 else ids.content_sha1(F.col("text")),
+    )
+    lines = hashed.select("file", "sha1", F.posexplode(lines_of(F.col("text"))).alias("line_no", "line"))
     found = line_findings(lines, "file", "sha1", "line_no")
     first = found.groupBy("sha1", "email").agg(
         F.min("file").alias("file"), F.min_by("email_context", "line_no").alias("email_context")

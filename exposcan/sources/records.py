@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from exposcan.functions.tabular import csv_cells, csv_columns, csv_fields, csv_rows
+from exposcan.functions.text import python_float
 from exposcan.session import with_once
 
 
@@ -46,7 +47,7 @@ def sheet_records(table: DataFrame, file: Column, row_no: Column, columns: list[
 def _cell(name: str, kind: T.DataType) -> Column:
     column = F.col(f"`{name}`")
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        missing, value, number = column.isNull() | F.isnan(column), _float_text(column), True
+        missing, value, number = column.isNull() | F.isnan(column), python_float(column), True
     elif isinstance(kind, T.BooleanType):
         missing, value, number = column.isNull(), column.cast("string"), True
     elif isinstance(kind, T.IntegralType):
@@ -58,11 +59,3 @@ def _cell(name: str, kind: T.DataType) -> Column:
         F.when(missing, F.lit("")).otherwise(value).alias("value"),
         (F.lit(number) & ~missing).alias("raw"),
     )
-
-
-def _float_text(number: Column) -> Column:
-    """Positional between 1e-4 and 1e16, with a decimal point, as Python writes floats."""
-    text = number.cast("string")
-    positional = F.regexp_replace(text.cast("decimal(38,21)").cast("string"), r"(\.[0-9]+?)0*\z", "$1")
-    spread = text.contains("E") & (F.abs(number) >= 1e-4) & (F.abs(number) < 1e16)
-    return F.when(spread, positional).otherwise(text)

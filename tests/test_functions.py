@@ -98,7 +98,7 @@ def test_json_text(spark):
         for separators in ((",", ":"), (", ", ": ")):
             text = json.dumps(v, ensure_ascii=False, separators=separators)
             assert value(spark, text, lambda c: js.python_json_text(js.one_json_value(c))) == json.dumps(v)
-    for text in ['{"a":1', '{"a":1} x', '{"a":1}{"b":2}', '{"a":1},{"b":2}', "{a:1}", "{'a':1}", "", '{"a":1,}', "nope"]:
+    for text in ['{"a":1}]', '{"a":1}] junk', "1],[2", '1,"x"] junk', '{"a":1', '{"a":1} x', '{"a":1}{"b":2}', '{"a":1},{"b":2}', "{a:1}", "{'a':1}", "", '{"a":1,}', "nope"]:
         assert value(spark, text, js.valid_json) is False
     for text in ['é"\\u00E9 \x01 \x7f 中😀/', "a\tb\n", "", "\\u00e9", "x\\\\u00E9é"]:
         assert value(spark, text, js.json_quote) == json.dumps(text)
@@ -117,6 +117,9 @@ def test_json_block(spark, reply, block):
     ('<a><b>1</b>t<b t="x>y">2</b></a>', "1 t 2"),
     ("<a>&lt;&#65;&amp;lt;x&#x1F600;</a>", "<A&lt;x😀"),
     ('<?xml version="1.0"?>\n<!-- c -->\n<a>q\n</a>\n<!-- d -->\n', "q "),
+    ("<d>email a@b.cc</d><e/>", None), ("<d/><e>x</e>", None), ("<d><e/>x</d>", "x"),
+    ('<!DOCTYPE a [<!ENTITY who "a@b.cc"> <!ENTITY b \'x\'>]><a>mail &who;&b;</a>', "mail a@b.ccx"),
+    ('<!DOCTYPE a [<!ENTITY x "&y;"><!ENTITY y "z">]><a>&x;</a>', None),
     ("<a><b></a>", None), ("plain", None), ("<a/>junk", None), ("<a>&nope;</a>", None), ("<a></a>", ""),
 ])
 def test_xml_text(spark, xml, text):

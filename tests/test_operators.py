@@ -149,6 +149,13 @@ def test_sheet_records_types(spark):
     assert values[2][0] == ("12345678.25", True)
 
 
+def test_floats_as_python_writes_them(spark):
+    numbers = [1e16, 4.5e17, 1e-5, 1.25e-7, 1e15, 0.0001, 123456789012345.6, 1e100, -3e22, 0.0, 12345678.0, -1.5e-300, 2.5]
+    table = spark.createDataFrame([(k, x) for k, x in enumerate(numbers)], "k int, f double")
+    got = rows(records.sheet_records(table, F.lit("f"), F.col("k"), ["f"]).select("row_no", "fields"), "row_no")
+    assert [r[1][0].value for r in got] == [str(x) for x in numbers]
+
+
 def test_xml_lane(spark):
     long = "<p>{}</p>"
     docs = spark.createDataFrame([
@@ -173,6 +180,29 @@ def test_findings_json_edges(spark):
     assert rows(fj.read_keyed_findings(keyed, "file", "json")) == [("f", "a@b.cc", "c", "1", "")]
 
 
+def test_repeated_keys_and_odd_members(spark):
+    text = '{"a@b.cc": {"email_context": "x"}, "b@b.cc": "text", "c@b.cc": {"email_context": "1", "email_context": "2", "ID": "7"}, "a@b.cc": {"ID": "3"}, "d@b.cc": null}'
+    files = spark.createDataFrame([("f", text)], "file string, json string")
+    assert rows(fj.read_keyed_findings(files, "file", "json"), "email") == [("f", "a@b.cc", "", "3", ""), ("f", "c@b.cc", "2", "7", "")]
+    assert rows(fj.odd_members(files, "file", "json"), "email") == [("f", "b@b.cc"), ("f", "d@b.cc")]
+
+
+def test_contexts_that_are_no_objects(spark):
+    values = [True, False, [1, True, None, "it's", 'a"b', "x\\y\nz", {"k": [1.5, 1e22]}], 5, 1e22, 12345678.0, [], "true"]
+    text = json.dumps([{"email": f"{k}@x.cc", "email_context": v} for k, v in enumerate(values)])
+    files = spark.createDataFrame([("f", text)], "file string, json string")
+    got = [r.email_context for r in fj.read_array_findings(files, "file", "json").orderBy("seq").collect()]
+    assert got == [str(v) for v in values]
+
+
+def test_falsy_identity_values(spark):
+    infos = [{"Name": 0, "ID Number": ""}, {"Name": "0", "ID Number": False}, {"Name": [], "ID Number": {}}, {"Name": "n", "Expiration Date": False, "Date of Birth": "x"}]
+    table = spark.createDataFrame([(str(k), json.dumps({"Information": i})) for k, i in enumerate(infos)] + [("9", '{"Information": {"Name": "", "Name": "last"}}')], "image string, reply string")
+    got = rows(identity.judge_replies(table, "image", "reply").select("file", "status", "Name", "`Expiration Date`", "`Date of Birth`"), "file")
+    assert [r[1] for r in got] == ["skipped", "indexed", "skipped", "indexed", "indexed"]
+    assert got[3][3:] == ("", "x") and got[4][2] == "last"
+
+
 def test_dedup_by_id(spark):
     table = spark.createDataFrame([("1", "txt", "a"), ("1", "xml", "b"), ("1", "csv", "c"), ("", "txt", "d"), ("", "txt", "e")], "id string, kind string, file string")
     ranked = table.withColumn("lane", dedup.lane_rank(F.col("kind")))
@@ -217,8 +247,35 @@ def test_upsert_versions(spark, tmp_path):
     assert after == [("", "e"), ("1", "new"), ("2", "c")]
     assert sinks.upsert_findings(second, root, sinks.RAW, ["seq"]) == 3
     assert rows(sinks.read_findings(spark, root).select("id", "email_context"), "id") == after
-    (Path(root) / "version=9").mkdir()
+    (Path(root) / "data-9").mkdir()
     assert sinks.latest_version(spark, root) == 3
+    assert not [p for p in Path(root).iterdir() if p.name.startswith("batch-")]
+
+
+def test_upsert_without_success_markers(spark, tmp_path):
+    """No version is lost, and of two writers from one version the second fails."""
+    root = str(tmp_path / "index")
+    batch = lambda key: spark.createDataFrame([(key, "a@x.cc", "c", "x.cc", "f", 1, 0)], FINDINGS)
+    marks = spark.sparkContext._jsc.hadoopConfiguration()
+    marks.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        assert [sinks.upsert_findings(batch(k), root, sinks.RAW, ["seq"]) for k in ("1", "2")] == [1, 2]
+    finally:
+        marks.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert rows(sinks.read_findings(spark, root).select("id"), "id") == [("1",), ("2",)]
+    with pytest.raises(RuntimeError, match="another writer"):
+        sinks._publish(spark, root, 2, "data-x")
+
+
+def test_sources_are_attached_once(spark):
+    found = spark.createDataFrame([("a", 1), ("b", 0), ("c", 2), ("d", 1), ("e", 9)], "id string, id_source int")
+    sources = spark.createDataFrame(
+        [("old", "2024", 1), ("new", "2025", 1), ("bad", "2025", 0), ("worse", "2025", 0), ("two", "2025", 2), ("two", "2025", 2)],
+        "post_title string, indexed string, id int",
+    )
+    assert rows(joins.attach_source(found, sources).select("id", "post_title"), "id") == [("a", "new"), ("c", "two"), ("d", "new")]
+    _, left_out = joins.latest_sources(sources)
+    assert rows(left_out.select("post_title"), "post_title") == [("bad",), ("old",), ("worse",)]
 
 
 def test_protected_output_holds_no_address(spark, tmp_path):

@@ -33,6 +33,13 @@ def test_text_lane_moves_findings_once(documents):
     assert shape.index("min_by") < shape.index("Exchange") < shape.index("partial_min_by")
 
 
+def test_text_is_hashed_below_the_lines(documents):
+    """Above them the whole text would be carried along and hashed once per line."""
+    shape = lanes.text_lane(documents, "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    above, below = shape.split("Generate posexplode", 1)
+    assert "sha1(cast(text" not in above and "sha1(cast(text" in below
+
+
 def test_csv_lane_moves_nothing(documents):
     assert exchanges(lanes.csv_lane(documents, "doc_id", "text")) == 0
 

@@ -13,7 +13,6 @@ from checks.queries import ORACLE, QUERIES
 from exposcan import fixed_values as fv
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"s11_list_files", "x20_utc_now_iso"}
 
 
 @pytest.fixture(scope="module")
@@ -23,15 +22,11 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    frame = QUERIES[name](spark, SF)
-    if name in ROWS_ONLY:
-        assert frame.count() > 0
-    else:
-        assert difference(frame, con, ORACLE[name]) is None
+    assert difference(QUERIES[name](spark, SF), con, ORACLE[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_equals_a_plain_reading(spark):
