@@ -2,6 +2,9 @@
 
 Repeated-phrase automata, in four steps:
 
+Documents of the same words are told by a digest; all but that of the smallest id skip steps 1 and 2, and
+their phrase is the whole of its text.
+
 1. *Anchors.* A window of 13 words holds six runs of 8 words; the run with the smallest hash is its
    anchor. Equal windows have equal anchors, so a window can only recur if its anchor
    does. Anchors (about two in seven) are sorted with their documents to find those that several have.
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 
 from exposcan.llm.hashing import run_hashes, word_hashes
 from exposcan.llm.shared_keys import shared_keys
-from exposcan.llm.storage import of_ids, settle
+from exposcan.llm.storage import drop, of_ids, settle
 
 WINDOW = 13
 ANCHOR = 8
@@ -37,6 +40,8 @@ ANCHOR = 8
 PIECE = 64
 #: Words of the documents of one bucket, about, if no document has more.
 BUCKET_WORDS = 400_000
+#: Start of a piece that is a whole text.
+WHOLE = -1
 #: Phrases of one automaton.
 SHARD = 100_000
 
@@ -113,34 +118,35 @@ def _located(window: int):
 
     def run(docs: pa.Table, pieces: pa.Table) -> pa.Table:
         names: dict[bytes, int] = {}
-        longest: dict[tuple, tuple[int, np.ndarray]] = {}
+        phrases: dict[tuple, dict[tuple, np.ndarray]] = {}  # by their first window, then by origin
         for first, start, text, runs in zip(*(pieces.column(c).to_pylist() for c in ("first_doc", "start", "text", "runs"))):
-            ids = np.array([names.setdefault(w, len(names) + 1) for w in text.encode().split(b" ")], np.int32)
+            ids = np.array([names.setdefault(w, len(names) + 1) for w in words_of(text.encode())], np.int32)
             for r in runs:
-                at = r["place"] - start
+                at = r["place"] - max(start, 0)
                 phrase = ids[at:at + r["length"] + window - 1]
-                head = tuple(phrase[:window].tolist())
-                if head not in longest or len(longest[head][1]) < len(phrase):
-                    longest[head] = first, phrase
+                alike = phrases.setdefault(tuple(phrase[:window].tolist()), {})
+                if len(alike.get((first, start < 0), ())) < len(phrase):
+                    alike[first, start < 0] = phrase
         ids = docs.column("doc_id").to_pylist()
         words = [words_of(t.as_py()) for t in docs.column("text").cast(pa.binary())]
         known = [np.array([names.get(w, 0) for w in text], np.int32) for text in words]
         change = [np.zeros(len(w) + 1, np.int32) for w in words]
-        heads = list(longest)
+        heads = list(phrases)
         for at in range(0, len(heads), SHARD):
             automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
             for head in heads[at:at + SHARD]:
-                automaton.add_word(head, longest[head])
+                automaton.add_word(head, phrases[head])
             automaton.make_automaton()
             for doc, text, marks in zip(ids, known, change):
                 if len(text) >= window:
-                    for end, (first, phrase) in automaton.iter(tuple(text.tolist())):
-                        if first < doc:
-                            start = end - window + 1
-                            here = text[start:start + len(phrase)]
-                            differs = np.flatnonzero(here != phrase[:len(here)])
-                            marks[start] += 1
-                            marks[start + (differs[0] if len(differs) else len(here))] -= 1
+                    for end, alike in automaton.iter(tuple(text.tolist())):
+                        start = end - window + 1
+                        for (first, _), phrase in alike.items():
+                            if first < doc:
+                                here = text[start:start + len(phrase)]
+                                differs = np.flatnonzero(here != phrase[:len(here)])
+                                marks[start] += 1
+                                marks[start + (differs[0] if len(differs) else len(here))] -= 1
         removed, kept, before = [], [], []
         for text, marks in zip(words, change):
             gone = np.cumsum(marks[:-1]) > 0
@@ -165,40 +171,57 @@ def _found(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
 
     The second table has one row per (doc_id, sha256) with ``n_removed`` > 0.
     """
-    base = settle(docs.mapInArrow(_anchored(window), "doc_id long, n_words long, sha256 string, anchors array<long>"), "anchors")
-    rows = base.filter("doc_id is not null").select("doc_id", F.explode("anchors").alias("anchor"))
+    anchored = settle(docs.mapInArrow(_anchored(window), "doc_id long, n_words long, sha256 string, anchors array<long>"), "anchors")
+    base = settle(anchored.select("doc_id", "n_words", "sha256"), "base")
+    # Of documents with the same words only the one of the smallest id is searched for windows; the others
+    # repeat all of it.
+    first = base.filter(F.col("doc_id").isNotNull() & (F.col("n_words") >= window)).groupBy("sha256").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last"))
+    copies = base.join(first.filter("first_doc < last"), "sha256").filter("doc_id > first_doc").select("doc_id", "first_doc", "n_words").distinct()
+    copies = settle(copies, "copies")
+
+    rows = of_ids(anchored.filter("doc_id is not null"), copies.select("doc_id").distinct(), "left_anti")
+    rows = rows.select("doc_id", F.explode("anchors").alias("anchor"))
     shared = settle(shared_keys(rows, "anchor", "doc_id").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")), "shared")
+    drop(anchored)
     flagged = of_ids(docs, shared.select("doc_id")).join(shared, "doc_id")
     lists = "windows array<long>, places array<int>, starts array<int>, piece_starts array<int>, piece_texts array<string>"
     windows = settle(flagged.select("doc_id", "text", "shared").mapInArrow(_candidates(window), f"doc_id long, n_words long, {lists}"), "windows")
 
-    buckets = int((windows.agg(F.sum("n_words")).first()[0] or 0) // BUCKET_WORDS) + 1
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
+    words = (windows.agg(F.sum("n_words")).first()[0] or 0) + (copies.agg(F.sum("n_words")).first()[0] or 0)
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(int(words // BUCKET_WORDS) + 1)).cast("int")
     zipped = F.explode(F.arrays_zip("windows", "places", "starts")).alias("w")
-    held = windows.select("doc_id", zipped).select("doc_id", "w.windows", "w.places", "w.starts")
-    origin = held.groupBy("windows").agg(F.min(F.struct("doc_id", "starts", "places")).alias("o"), F.max("doc_id").alias("last"))
-    origin = origin.filter("o.doc_id < last").select("windows", "o")
-    repeated = held.select("windows", "doc_id", "places").join(origin, "windows").filter("doc_id > o.doc_id")
-    in_doc = W.partitionBy("doc_id").orderBy("places")
-    here, before = F.struct("places", "o"), F.lag(F.struct("places", "o")).over(in_doc)
-    goes_on = (
-        (before["places"] + 1 == here["places"]) & (before["o"]["doc_id"] == here["o"]["doc_id"])
-        & (before["o"]["starts"] == here["o"]["starts"]) & (before["o"]["places"] + 1 == here["o"]["places"])
+    # Place in the document and start of the piece as one number, which an aggregate can hold.
+    both = (F.shiftleft(F.col("w.places").cast("long"), 32) + F.col("w.starts")).alias("both")
+    held = windows.select("doc_id", zipped).select("doc_id", F.col("w.windows").alias("window"), F.col("w.places").alias("place"), both)
+    origin = held.groupBy("window").agg(F.min("doc_id").alias("first_doc"), F.min_by("both", "doc_id").alias("both"), F.max("doc_id").alias("last"))
+    origin = origin.filter("first_doc < last").select(
+        "window", "first_doc", F.shiftright("both", 32).cast("int").alias("origin_place"), F.col("both").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("start")
     )
-    runs = repeated.select("doc_id", "places", "o", F.coalesce(~goes_on, F.lit(True)).alias("new"), F.row_number().over(in_doc).alias("at"), F.count("*").over(W.partitionBy("doc_id")).alias("n"))
+    repeated = held.select("window", "doc_id", "place").join(origin, "window").filter("doc_id > first_doc")
+    repeated = repeated.select("doc_id", "place", "first_doc", "origin_place", "start").withColumn("shift", F.col("place") - F.col("origin_place"))
+    in_doc = W.partitionBy("doc_id").orderBy("place")
+    goes_on = F.lit(True)
+    for column, step in (("place", 1), ("first_doc", 0), ("start", 0), ("shift", 0)):
+        goes_on &= F.lag(column).over(in_doc) + step == F.col(column)
+    runs = repeated.withColumns({"new": ~F.coalesce(goes_on, F.lit(False)), "at": F.row_number().over(in_doc), "n": F.count("*").over(W.partitionBy("doc_id"))})
     runs = runs.filter("new").withColumn("length", F.coalesce(F.lead("at").over(in_doc), F.col("n") + 1) - F.col("at"))
-    runs = runs.select(bucket.alias("bucket"), "doc_id", F.col("o.doc_id").alias("first_doc"), F.col("o.starts").alias("start"), F.col("o.places").alias("place"), "length")
+    runs = runs.select(bucket.alias("bucket"), "doc_id", "first_doc", "start", F.col("origin_place").alias("place"), F.col("length").cast("int").alias("length"))
     needs = runs.groupBy("bucket", "first_doc", "start").agg(F.collect_set(F.struct("place", "length")).alias("runs"), F.collect_set("doc_id").alias("in_docs"))
     needs = settle(needs, "needs")
+
     pieces = windows.select(F.col("doc_id").alias("first_doc"), F.explode(F.arrays_zip("piece_starts", "piece_texts")).alias("p"))
     pieces = pieces.select("first_doc", F.col("p.piece_starts").alias("start"), F.col("p.piece_texts").alias("text")).dropDuplicates(["first_doc", "start"])
-    pieces = needs.drop("in_docs").join(pieces, ["first_doc", "start"])
-    touched = needs.select(F.explode("in_docs").alias("doc_id")).distinct()
+    pieces = needs.drop("in_docs").join(pieces, ["first_doc", "start"]).select("bucket", "first_doc", "start", "text", "runs")
+    whole = F.array(F.struct(F.lit(0).alias("place"), (F.col("n_words") - window + 1).cast("int").alias("length"))).alias("runs")
+    wanted = copies.select(bucket.alias("bucket"), "first_doc", F.lit(WHOLE).alias("start"), whole).distinct()
+    texts = of_ids(docs, copies.select(F.col("first_doc").alias("doc_id")).distinct()).withColumnRenamed("doc_id", "first_doc").distinct()
+    pieces = pieces.unionByName(wanted.join(texts, "first_doc"))
+    touched = needs.select(F.explode("in_docs").alias("doc_id")).union(copies.select("doc_id")).distinct()
     dealt = of_ids(docs, touched).withColumn("bucket", bucket)
     left = "doc_id long, sha256 string, n_removed long, kept string, kept_sha256 string"
     kept = dealt.groupBy("bucket").cogroup(pieces.groupBy("bucket")).applyInArrow(_located(window), left)
     kept = settle(kept.filter("n_removed > 0").dropDuplicates(["doc_id", "sha256"]), "kept")
-    return base.select("doc_id", "n_words", "sha256"), kept
+    return base, kept
 
 
 def repeated_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -27,8 +27,8 @@ def shared_folder(spark: SparkSession) -> str:
 def settle(frame: DataFrame, label: str) -> DataFrame:
     """Write ``frame`` as a table in the shared folder and read it back.
 
-    This cuts the lineage, so a lost executor costs the running tasks only, and what the
-    frame's plan held on disk (its shuffles) can go.
+    This cuts the lineage, so a lost executor costs the running tasks only. What the frames of
+    earlier steps hold on disk (their shuffles) goes once the driver collects them, which is asked for here.
     """
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/exposcan-llm/{label}-{uuid.uuid4().hex}"
@@ -36,9 +36,19 @@ def settle(frame: DataFrame, label: str) -> DataFrame:
     frame.write.parquet(path)
     del frame
     gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(schema).parquet(path)
 
 
+def drop(settled: DataFrame) -> None:
+    """Delete a table that ``settle`` wrote; nothing lazy may need it any more."""
+    spark = settled.sparkSession
+    for file in settled.inputFiles()[:1]:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if "/exposcan-llm/" in path.toString():
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def of_ids(rows: DataFrame, ids: DataFrame, how: str = "left_semi", key: str = "doc_id") -> DataFrame:
     """Rows whose key is among ``ids``, or with ``left_anti`` is not.
 
