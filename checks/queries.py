@@ -708,27 +708,29 @@ def _(spark, sf):
     return lanes.xml_lane(t.xml_docs(spark, sf), "doc", "xml")
 
 
-def index_sql(lane: str, rows: str, json_name: str, seq: str = "0") -> str:
+def index_sql(lane: str, rows: str, json_name: str, seq: str = "0", source: str = "7") -> str:
     origin = "origin || ' ' || " if lane in ("txt", "pdf", "docx", "pptx") else ""
     return f"""SELECT id, lower(email) AS email, email_context, {domain('email')} AS domain, {origin}{json_name} AS "from",
- 7 AS id_source, {fv.LANE_ORDER.index(lane) + 1} AS lane, CAST(file AS VARCHAR) AS file, CAST({seq} AS BIGINT) AS seq FROM ({rows})"""
+ {source} AS id_source, {fv.LANE_ORDER.index(lane) + 1} AS lane, CAST(file AS VARCHAR) AS file, CAST({seq} AS BIGINT) AS seq FROM ({rows})"""
 
 
+# Files belong to ten sources; number 0 is none, and some are not registered.
+FILE_SOURCE = "CAST(file % 10 AS INTEGER)"
 INDEXED = " UNION ALL ".join([
-    index_sql("txt", P1, "file || '.json'"),
-    index_sql("pdf", P2, "origin || '.json'"),
-    index_sql("docx", f"{P3} AND origin LIKE 'DOCX%'", "'d' || file || '.json'"),
-    index_sql("pptx", f"{P3} AND origin LIKE 'PPTX%'", "'d' || file || '.json'"),
-    index_sql("csv", P4, "'transformed_' || file || '.json'", "row_no"),
-    index_sql("xls", P5, "'transformed_' || file || '.json'", "row_no"),
-    index_sql("xml", P6, "file || '.json'"),
+    index_sql("txt", P1, "file || '.json'", source=FILE_SOURCE),
+    index_sql("pdf", P2, "origin || '.json'", source=FILE_SOURCE),
+    index_sql("docx", f"{P3} AND origin LIKE 'DOCX%'", "'d' || file || '.json'", source=FILE_SOURCE),
+    index_sql("pptx", f"{P3} AND origin LIKE 'PPTX%'", "'d' || file || '.json'", source=FILE_SOURCE),
+    index_sql("csv", P4, "'transformed_' || file || '.json'", "row_no", FILE_SOURCE),
+    index_sql("xls", P5, "'transformed_' || file || '.json'", "row_no", FILE_SOURCE),
+    index_sql("xml", P6, "file || '.json'", source=FILE_SOURCE),
 ])
 P7 = f"""SELECT id, email, email_context, domain, "from", id_source FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY lane DESC, file DESC, seq DESC) AS n
- FROM ({INDEXED})) WHERE n = 1"""
+ FROM ({INDEXED}) WHERE id_source IN (SELECT id FROM {t.SUBMISSIONS} WHERE id <> 0)) WHERE n = 1"""
 
 
 def all_lanes(spark, sf):
-    seven = F.lit(7)
+    number = F.col("file") % 10
     file = F.col("file").cast("string")
     plain = F.concat(file, F.lit(".json"))
     office = lanes.office_lane(t.blocks(spark, sf))
@@ -737,18 +739,21 @@ def all_lanes(spark, sf):
     transformed = F.concat(F.lit("transformed_"), file, F.lit(".json"))
     csv = lanes.csv_lane(t.csv_texts(spark, sf), "doc", "text")
     return [
-        index.index_rows(lanes.text_lane(t.texts(spark, sf), "doc", "text"), "txt", plain, seven),
-        index.index_rows(lanes.pdf_lane(t.pages(spark, sf)), "pdf", F.concat("origin", F.lit(".json")), seven),
-        index.index_rows(office, office_lane, office_name, seven),
-        index.index_rows(csv, "csv", transformed, seven, F.col("row_no")),
-        index.index_rows(lanes.sheet_lane(sheet_records(spark, sf)), "xls", transformed, seven, F.col("row_no")),
-        index.index_rows(lanes.xml_lane(t.xml_docs(spark, sf), "doc", "xml"), "xml", plain, seven),
+        index.index_rows(lanes.text_lane(t.texts(spark, sf), "doc", "text"), "txt", plain, number),
+        index.index_rows(lanes.pdf_lane(t.pages(spark, sf)), "pdf", F.concat("origin", F.lit(".json")), number),
+        index.index_rows(office, office_lane, office_name, number),
+        index.index_rows(csv, "csv", transformed, number, F.col("row_no")),
+        index.index_rows(lanes.sheet_lane(sheet_records(spark, sf)), "xls", transformed, number, F.col("row_no")),
+        index.index_rows(lanes.xml_lane(t.xml_docs(spark, sf), "doc", "xml"), "xml", plain, number),
     ]
 
 
 @query("p7_index_all", P7)
 def _(spark, sf):
-    return index.index_all(*all_lanes(spark, sf))
+    """All lanes, the findings of registered sources, upserted into an empty index."""
+    root = f"{folder(spark)}/all"
+    index.index_run(all_lanes(spark, sf), sources(spark, sf), root, sinks.RAW)
+    return sinks.read_findings(spark, root)
 
 
 @query("p8_identity_records", f"""SELECT country, authority, nullif(expires, '') AS expires, name, gender, nullif(born, '') AS born, address, number,

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from exposcan import fixed_values as fv
 from exposcan.functions import ids
 from exposcan.operators.dedup import dedup_by_id, lane_rank
+from exposcan.operators.joins import attach_source
+from exposcan.operators.sinks import Protection, upsert_findings
 
 ORDER = ["lane", "file", "seq"]
 
@@ -46,3 +48,9 @@ def union_dirs(first: DataFrame, second: DataFrame) -> DataFrame:
 def index_all(*lanes: DataFrame) -> DataFrame:
     """The index after all lanes are written: one row per id, the last write wins."""
     return dedup_by_id(union_lanes(*lanes), ORDER).select(*fv.FINDING_FIELDS)
+
+
+def index_run(lanes: list[DataFrame], sources: DataFrame, root: str, protection: Protection | None) -> int:
+    """All lanes' findings of registered sources, upserted into the index below ``root``: its new version."""
+    found = attach_source(union_lanes(*lanes), sources)
+    return upsert_findings(found.select(*fv.FINDING_FIELDS, *ORDER), root, protection, ORDER)
