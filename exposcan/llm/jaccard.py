@@ -13,8 +13,9 @@ similar documents share a key. ``k`` depends on the size band. A document near t
 is filed in the band below as well. A document with too few chunks that hold something is also filed
 with more chunks, and at last shingle by shingle; a pair is safe once either document has enough.
 
-Nothing is capped. Pairs sharing a key are first linked in a star per key and verified on the shingle hashes;
-keys whose documents the links leave in different components are then taken up again, and there
+Nothing is capped. Pairs sharing a key are first linked in a star per key. A pair whose bit sketches (the
+parity of the shingles at each of some bits) differ in more places than similar sets can is dropped, the rest is verified
+on the shingle hashes. Keys whose documents the links leave in different components are then taken up again, and there
 every pair of documents of different components is compared by bit sketch and verified.
 """
 
@@ -39,7 +40,7 @@ PARTS = 9
 #: Most shingles per chunk at the top of a size band.
 FILL = 3.5
 #: Bits of a bit sketch per shingle at the top of a size band.
-BITS = 4
+BITS = 2
 #: Documents of one key compared with each other at a time.
 BLOCK = 1024
 
@@ -100,19 +101,23 @@ def bit_sketch(tokens: np.ndarray, band: int) -> np.ndarray:
 def _filed(size: int):
     def run(batches):
         for batch in batches:
-            counts, classes, keys = [], [], []
+            counts, classes, keys, bands, sketches = [], [], [], [], []
             for text in batch.column("text").cast(pa.binary()):
                 tokens = shingles(text.as_py(), size)
                 counts.append(len(tokens))
                 classes.append(xxh3_128_digest(tokens.tobytes()) if len(tokens) else None)
-                found = [k for band, bound in filings(len(tokens)) for k in chunk_keys(tokens, band, bound)] if len(tokens) else []
+                filed = filings(len(tokens)) if len(tokens) else []
+                found = [k for band, bound in filed for k in chunk_keys(tokens, band, bound)]
+                bands.append([band for band, _ in filed])
+                sketches.append([bit_sketch(tokens, band).tobytes() for band, _ in filed])
                 keys.append(np.concatenate(found).view(np.int64) if found else np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(classes, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, keys)]), pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *keys]))),
+                    pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.binary())),
                 ],
-                names=["doc_id", "n_shingles", "class", "keys"],
+                names=["doc_id", "n_shingles", "class", "keys", "bands", "sketches"],
             )
 
     return run
@@ -127,21 +132,15 @@ def _tokens(size: int):
     return run
 
 
-def _sketches(size: int):
-    def run(batches):
-        for batch in batches:
-            ids, bands, sketches = [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary())):
-                tokens = shingles(text.as_py(), size)
-                for band, _ in filings(len(tokens)) if len(tokens) else []:
-                    ids.append(doc)
-                    bands.append(band)
-                    sketches.append(bit_sketch(tokens, band).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(bands, pa.int64()), pa.array(sketches, pa.binary())], names=["doc_id", "band", "sketch"]
-            )
-
-    return run
+def _likely(batches):
+    """Pairs whose bit sketches differ in no more places than similar sets can."""
+    for batch in batches:
+        na, nb = (batch.column(c).to_numpy() for c in ("na", "nb"))
+        distance = np.array(
+            [np.bitwise_count(np.frombuffer(x.as_py(), np.uint64) ^ np.frombuffer(y.as_py(), np.uint64)).sum() for x, y in zip(batch.column("one"), batch.column("other"))],
+            np.int64,
+        )
+        yield batch.select(["a", "b"]).filter(pa.array(PARTS * distance <= na + nb))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
@@ -220,23 +219,31 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     with nothing and has a null component. Other columns of ``docs`` are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    filed = settle(docs.mapInArrow(_filed(size), "doc_id long, n_shingles long, class binary, keys array<long>"), "filed")
+    filed = settle(docs.mapInArrow(_filed(size), "doc_id long, n_shingles long, class binary, keys array<long>, bands array<long>, sketches array<binary>"), "filed")
     known = filed.filter("doc_id is not null and class is not null")
-    rep = known.groupBy("class").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"))
+    rep = known.groupBy("class").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n_shingles"))
     member = settle(known.select("doc_id", "class").distinct().join(rep, "class").select("doc_id", "rep", "n_shingles"), "member")
 
     rows = known.select("doc_id", F.explode("keys").alias("key"))
     found = shared_keys(rows, "key", "doc_id").join(member, "doc_id")
     found = settle(found.select("key", "rep", "n_shingles").distinct(), "shared")
 
-    star = found.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("last"), F.min_by("n_shingles", "rep").alias("n"))
-    fits = (F.col("rep") > F.col("a")) & (5 * F.least("n", "n_shingles") >= 4 * F.greatest("n", "n_shingles"))
-    pairs = found.join(star.filter("a < last"), "key").filter(fits).select("a", F.col("rep").alias("b")).distinct()
+    zipped = known.select("doc_id", F.explode(F.arrays_zip("bands", "sketches")).alias("s"))
+    bits = zipped.select("doc_id", F.col("s.bands").alias("band"), F.col("s.sketches").alias("sketch"))
+
+    star = found.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("last"), F.min_by("n_shingles", "rep").alias("na"))
+    fits = (F.col("rep") > F.col("a")) & (5 * F.least("na", "n_shingles") >= 4 * F.greatest("na", "n_shingles"))
+    pairs = found.join(star.filter("a < last"), "key").filter(fits)
+    pairs = pairs.groupBy("a", F.col("rep").alias("b")).agg(F.min(F.col("key").bitwiseAND(F.lit(63))).alias("band"), F.min("na").alias("na"), F.min("n_shingles").alias("nb"))
     pairs = settle(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("doc_id"), "band").union(pairs.select("b", "band")).distinct()
+    some = settle(bits.join(wanted, ["doc_id", "band"], "left_semi").dropDuplicates(["doc_id", "band"]), "bits")
+    sketched = pairs.join(some.toDF("a", "band", "one"), ["a", "band"]).join(some.toDF("b", "band", "other"), ["b", "band"])
+    likely = settle(sketched.select("a", "b", "na", "nb", "one", "other").mapInArrow(_likely, "a long, b long"), "likely")
     same = member.filter("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    label = components(_verified(pairs, docs, size).union(same))
+    label = components(_verified(likely, docs, size).union(same))
 
-    more = _second_pass(docs, found, label, pairs, size)
+    more = _second_pass(docs, found, bits, label, pairs.select("a", "b"), size)
     if not more.isEmpty():
         label = components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     return (
@@ -246,7 +253,7 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     )
 
 
-def _second_pass(docs: DataFrame, found: DataFrame, first: DataFrame, tried: DataFrame, size: int) -> DataFrame:
+def _second_pass(docs: DataFrame, found: DataFrame, bits: DataFrame, first: DataFrame, tried: DataFrame, size: int) -> DataFrame:
     """Links between documents that share a key but are in different components so far."""
     labelled = found.join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     per_key = labelled.groupBy("key").agg(
@@ -261,16 +268,15 @@ def _second_pass(docs: DataFrame, found: DataFrame, first: DataFrame, tried: Dat
         .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     )
     left = settle(labelled.join(open_keys.select("key", "band", "blocks"), "key"), "open")
-    bits = settle(
-        of_ids(docs, left.select(F.col("rep").alias("doc_id")).distinct()).mapInArrow(_sketches(size), "doc_id long, band long, sketch binary"), "bits"
-    )
+    wanted = left.select(F.col("rep").alias("doc_id"), "band").distinct()
+    bits = settle(bits.join(wanted, ["doc_id", "band"], "left_semi").dropDuplicates(["doc_id", "band"]), "bits")
     part = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     dealt = (
         left.withColumn("part", part)
         .withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("low", F.least("part", "to"))
         .withColumn("high", F.greatest("part", "to"))
-        .join(bits.dropDuplicates(["doc_id", "band"]).withColumnRenamed("doc_id", "rep"), ["rep", "band"])
+        .join(bits.withColumnRenamed("doc_id", "rep"), ["rep", "band"])
         .select("key", "rep", "n_shingles", "component", "part", "low", "high", "sketch")
     )
     order = ["key", "low", "high", "n_shingles", "rep"]
