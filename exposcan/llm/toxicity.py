@@ -46,9 +46,33 @@ def windows(text: bytes) -> list[bytes]:
     return [text[at:at + WINDOW] for at in range(0, max(1, len(text) - (WINDOW - STEP)), STEP)]
 
 
-def _strings(word: bytes) -> set[bytes]:
+def _strings(word: bytes, among) -> set[bytes]:
     word = b" " + word + b" "
-    return {word[at:at + n] for n in LENGTHS for at in range(len(word) - n + 1)}
+    return {s for n in LENGTHS for at in range(len(word) - n + 1) if (s := word[at:at + n]) in among}
+
+
+def _common(texts: list[bytes], least: int) -> dict[bytes, int]:
+    """Strings found in at least so many texts, and in how many.
+
+    Length by length: a longer string can only be common if what it begins and ends with is. So few strings
+    are held at a time.
+    """
+    found: dict[bytes, int] = {}
+    shorter: dict[bytes, int] | None = None
+    for n in LENGTHS:
+        counts: Counter[bytes] = Counter()
+        for text in texts:
+            here = set()
+            for word in set(text.lower().split()):
+                word = b" " + word + b" "
+                for at in range(len(word) - n + 1):
+                    s = word[at:at + n]
+                    if shorter is None or (s[:-1] in shorter and s[1:] in shorter):
+                        here.add(s)
+            counts.update(here)
+        shorter = {s: k for s, k in counts.items() if k >= least}
+        found |= shorter
+    return found
 
 
 def typical_strings(toxic: list[bytes], ordinary: list[bytes]) -> bytes:
@@ -58,11 +82,22 @@ def typical_strings(toxic: list[bytes], ordinary: list[bytes]) -> bytes:
     it is then lengthened by its neighbours as long as these come with it. The words it
     explains are set aside, and the search ends when a string adds too few documents.
     """
+    least = max(3, len(toxic) // 50)
+    common = _common(toxic, least)
+    usual: Counter[bytes] = Counter()
+    for text in ordinary:
+        usual.update({s for w in set(text.lower().split()) for s in _strings(w, common)})
+    weight = len(ordinary) / max(1, len(toxic))
+    odds = {s: k * weight / (usual[s] + 0.5) for s, k in common.items()}
+    odds = {s: o for s, o in odds.items() if o >= RATIO}
     words: dict[bytes, int] = {}  # word: documents, as bits
+    of: dict[bytes, set[bytes]] = {}
     for k, text in enumerate(toxic):
         for w in set(text.lower().split()):
-            words[w] = words.get(w, 0) | 1 << k
-    of = {w: _strings(w) for w in words}
+            if w not in of:
+                of[w] = _strings(w, odds)
+            if of[w]:
+                words[w] = words.get(w, 0) | 1 << k
 
     def places() -> dict[bytes, int]:
         found: dict[bytes, int] = {}
@@ -71,15 +106,6 @@ def typical_strings(toxic: list[bytes], ordinary: list[bytes]) -> bytes:
                 found[s] = found.get(s, 0) | at
         return found
 
-    least = max(3, len(toxic) // 50)
-    common = {s for s, at in places().items() if at.bit_count() >= least}
-    usual: Counter[bytes] = Counter()
-    for text in ordinary:
-        usual.update({s for w in set(text.lower().split()) for s in of.get(w) or _strings(w) if s in common})
-    weight = len(ordinary) / max(1, len(toxic))
-    odds = {s: at.bit_count() * weight / (usual[s] + 0.5) for s, at in places().items() if s in common}
-    of = {w: {s for s in strings if odds.get(s, 0) >= RATIO} for w, strings in of.items()}
-    words = {w: at for w, at in words.items() if of[w]}
     taken: list[bytes] = []
     open_ = [(1 << len(toxic)) - 1] * COVER  # documents with no more than 0, 1, ... of the strings taken
     while sum(map(len, taken)) < TYPICAL and (now := places()):
