@@ -24,20 +24,24 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def _free_shuffles(spark: SparkSession) -> None:
+    """Let go of what earlier steps hold on disk: shuffle files stay until the driver collects their owners."""
+    for _ in range(2):  # the second round collects what the first has released
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+
+
 def settle(frame: DataFrame, label: str) -> DataFrame:
     """Write ``frame`` as a table in the shared folder and read it back.
 
-    This cuts the lineage, so a lost executor costs the running tasks only. What the frames of
-    earlier steps hold on disk (their shuffles) goes once the driver collects them, which is asked for here.
+    This cuts the lineage, so a lost executor costs the running tasks only, and the shuffles of the
+    steps before go: there is one step's on disk at a time.
     """
     spark = frame.sparkSession
+    _free_shuffles(spark)
     path = f"{shared_folder(spark)}/exposcan-llm/{label}-{uuid.uuid4().hex}"
-    schema = frame.schema
     frame.write.parquet(path)
-    del frame
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 def drop(settled: DataFrame) -> None:
