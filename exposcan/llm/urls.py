@@ -62,9 +62,10 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> D
     )
     known = rules.select(digest.alias("known"), rank.alias("rank")).groupBy("known").agg(F.max("rank").alias("rank")).withColumn("key", F.substring("known", 1, PREFIX))
 
-    # One row per distinct page and url; how often it occurs is written out again at the end.
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url")).groupBy("page_id", "url").agg(F.count("*").alias("times"))
-    rows = rows.select("page_id", "times", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    # One row per distinct page, host and path; how often it occurs is written out again at the end.
+    url = F.col("url").cast("string")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
+    rows = rows.groupBy("page_id", "host", "path").agg(F.count("*").alias("times"))
     parts = F.split("host", r"\.")
     numbers = lambda values: F.array(*[F.lit(v) for v in sorted(values)]).cast("array<int>")
     suffixes = F.transform(F.filter(numbers(shape["labels"]), lambda n: n <= F.size(parts)), lambda n: F.array_join(F.slice(parts, -n, n), "."))

@@ -94,6 +94,12 @@ def test_urls(spark, monkeypatch, few):
     assert got == sorted(want, key=str)
 
 
+def test_urls_that_differ_in_the_query_only(spark):
+    rows = [(i, u) for i in (None, 4) for u in ("http://a.org/x?q=1", "http://a.org/x?q=2", "http://a.org/x#q", "http://a.org/y", "none", None, "")]
+    got = [tuple(r) for r in urls.filter_urls(frame(spark, rows, "page_id long, url string"), urls.rule_table(spark)).collect()]
+    assert sorted(got, key=str) == sorted([(i, *judged(u)) for i, u in rows], key=str)
+
+
 def test_no_rules_or_pages(spark):
     pages = frame(spark, [(1, "http://a.org/x")], "page_id long, url string")
     none = urls.rule_table(spark).filter("false")
