@@ -2,8 +2,8 @@
 
 Repeated-phrase automata, in four steps:
 
-Documents of the same words are told by a digest; all but that of the smallest id skip steps 1 and 2, and
-their phrase is the whole of its text.
+Texts of the same words are told by a digest; all but that of the smallest id skip steps 1 and 2, and
+their phrase is the whole of its text. Several texts of one id are numbered through as one document, with a gap.
 
 1. *Anchors.* A window of 13 words holds six runs of 8 words; the run with the smallest hash is its
    anchor. Equal windows have equal anchors, so a window can only recur if its anchor
@@ -92,8 +92,9 @@ def _candidates(window: int):
         for batch in batches:
             columns = {k: [] for k in ("windows", "places", "starts", "piece_starts", "piece_texts")}
             counts = []
-            for text, shared in zip(_texts(batch), batch.column("shared")):
+            for text, shared, offsets in zip(_texts(batch), batch.column("shared"), batch.column("offsets").to_pylist()):
                 words = words_of(text)
+                offset = dict(offsets)[hashlib.sha256(b" ".join(words)).hexdigest()] if offsets else 0
                 hashes = word_hashes(words)
                 at = np.flatnonzero(np.isin(_window_anchors(hashes, window), np.asarray(shared.values).view(np.uint64)))
                 run_start = np.r_[True, np.diff(at) > 1][:len(at)]
@@ -101,9 +102,9 @@ def _candidates(window: int):
                 starts = first + (at - first) // PIECE * PIECE
                 own, last = np.unique(starts), np.r_[np.flatnonzero(np.diff(starts)), len(at) - 1] if len(at) else at
                 columns["windows"].append(run_hashes(hashes, window)[at].view(np.int64))
-                columns["places"].append(at)
-                columns["starts"].append(starts)
-                columns["piece_starts"].append(own)
+                columns["places"].append(at + offset)
+                columns["starts"].append(starts + offset)
+                columns["piece_starts"].append(own + offset)
                 columns["piece_texts"].append([b" ".join(words[a:at[z] + window]) for a, z in zip(own, last)])
                 counts.append(len(words))
             arrays = [_lists(columns[k], kind) for k, kind in (("windows", np.int64), ("places", np.int32), ("starts", np.int32), ("piece_starts", np.int32))]
@@ -119,14 +120,14 @@ def _located(window: int):
     def run(docs: pa.Table, pieces: pa.Table) -> pa.Table:
         names: dict[bytes, int] = {}
         phrases: dict[tuple, dict[tuple, np.ndarray]] = {}  # by their first window, then by origin
-        for first, start, text, runs in zip(*(pieces.column(c).to_pylist() for c in ("first_doc", "start", "text", "runs"))):
+        for first, start, text, runs, whole in zip(*(pieces.column(c).to_pylist() for c in ("first_doc", "start", "text", "runs", "sha256"))):
             ids = np.array([names.setdefault(w, len(names) + 1) for w in words_of(text.encode())], np.int32)
             for r in runs:
                 at = r["place"] - max(start, 0)
                 phrase = ids[at:at + r["length"] + window - 1]
                 alike = phrases.setdefault(tuple(phrase[:window].tolist()), {})
-                if len(alike.get((first, start < 0), ())) < len(phrase):
-                    alike[first, start < 0] = phrase
+                if len(alike.get((first, whole), ())) < len(phrase):
+                    alike[first, whole] = phrase
         ids = docs.column("doc_id").to_pylist()
         words = [words_of(t.as_py()) for t in docs.column("text").cast(pa.binary())]
         known = [np.array([names.get(w, 0) for w in text], np.int32) for text in words]
@@ -162,6 +163,20 @@ def _located(window: int):
     return run
 
 
+def _digest():
+    """What ``hashlib`` makes of the words of ``text``, joined by one blank."""
+    return F.sha2(F.concat_ws(" ", F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")), 256)
+
+
+def _offsets(base: DataFrame) -> DataFrame:
+    """Ids with several texts: where the words of each are counted from (doc_id, map of sha256 to offset)."""
+    ids = base.filter("doc_id is not null").groupBy("doc_id").agg(F.min("sha256").alias("least"), F.max("sha256").alias("most")).filter("least < most").select("doc_id")
+    texts = of_ids(base, settle(ids, "several")).select("doc_id", "sha256", "n_words").distinct()
+    before = W.partitionBy("doc_id").orderBy("sha256").rowsBetween(W.unboundedPreceding, -1)
+    texts = texts.withColumn("offset", F.coalesce(F.sum(F.col("n_words") + 1).over(before), F.lit(0)))
+    return texts.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("sha256", "offset"))).alias("offsets"))
+
+
 def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -176,16 +191,17 @@ def _found(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     # Of documents with the same words only the one of the smallest id is searched for windows; the others
     # repeat all of it.
     first = base.filter(F.col("doc_id").isNotNull() & (F.col("n_words") >= window)).groupBy("sha256").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last"))
-    copies = base.join(first.filter("first_doc < last"), "sha256").filter("doc_id > first_doc").select("doc_id", "first_doc", "n_words").distinct()
+    copies = base.join(first.filter("first_doc < last"), "sha256").filter("doc_id > first_doc").select("doc_id", "sha256", "first_doc", "n_words").distinct()
     copies = settle(copies, "copies")
 
-    rows = of_ids(anchored.filter("doc_id is not null"), copies.select("doc_id").distinct(), "left_anti")
+    rows = of_ids(anchored.filter("doc_id is not null"), copies.select("doc_id", "sha256"), "left_anti", ["doc_id", "sha256"])
     rows = rows.select("doc_id", F.explode("anchors").alias("anchor"))
     shared = settle(shared_keys(rows, "anchor", "doc_id").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")), "shared")
     drop(anchored)
-    flagged = of_ids(docs, shared.select("doc_id")).join(shared, "doc_id")
+    offsets = settle(_offsets(base), "offsets")
+    flagged = of_ids(docs, shared.select("doc_id")).join(shared.join(offsets, "doc_id", "left"), "doc_id")
     lists = "windows array<long>, places array<int>, starts array<int>, piece_starts array<int>, piece_texts array<string>"
-    windows = settle(flagged.select("doc_id", "text", "shared").mapInArrow(_candidates(window), f"doc_id long, n_words long, {lists}"), "windows")
+    windows = settle(flagged.select("doc_id", "text", "shared", "offsets").mapInArrow(_candidates(window), f"doc_id long, n_words long, {lists}"), "windows")
 
     words = (windows.agg(F.sum("n_words")).first()[0] or 0) + (copies.agg(F.sum("n_words")).first()[0] or 0)
     bucket = F.pmod(F.xxhash64("doc_id"), F.lit(int(words // BUCKET_WORDS) + 1)).cast("int")
@@ -211,11 +227,11 @@ def _found(docs: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
 
     pieces = windows.select(F.col("doc_id").alias("first_doc"), F.explode(F.arrays_zip("piece_starts", "piece_texts")).alias("p"))
     pieces = pieces.select("first_doc", F.col("p.piece_starts").alias("start"), F.col("p.piece_texts").alias("text")).dropDuplicates(["first_doc", "start"])
-    pieces = needs.drop("in_docs").join(pieces, ["first_doc", "start"]).select("bucket", "first_doc", "start", "text", "runs")
+    pieces = needs.drop("in_docs").join(pieces, ["first_doc", "start"]).select("bucket", "first_doc", "start", "text", "runs", F.lit(None).cast("string").alias("sha256"))
     whole = F.array(F.struct(F.lit(0).alias("place"), (F.col("n_words") - window + 1).cast("int").alias("length"))).alias("runs")
-    wanted = copies.select(bucket.alias("bucket"), "first_doc", F.lit(WHOLE).alias("start"), whole).distinct()
+    wanted = copies.select(bucket.alias("bucket"), "first_doc", "sha256", F.lit(WHOLE).alias("start"), whole).distinct()
     texts = of_ids(docs, copies.select(F.col("first_doc").alias("doc_id")).distinct()).withColumnRenamed("doc_id", "first_doc").distinct()
-    pieces = pieces.unionByName(wanted.join(texts, "first_doc"))
+    pieces = pieces.unionByName(wanted.join(texts.withColumn("sha256", _digest()), ["first_doc", "sha256"]))
     touched = needs.select(F.explode("in_docs").alias("doc_id")).union(copies.select("doc_id")).distinct()
     dealt = of_ids(docs, touched).withColumn("bucket", bucket)
     left = "doc_id long, sha256 string, n_removed long, kept string, kept_sha256 string"
@@ -251,8 +267,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     key = F.col("doc_id").cast("long")
     marked = docs.withColumn("_id", key)
     same = of_ids(marked, ids.withColumnRenamed("doc_id", "_id"), "left_anti", "_id").drop("_id")
-    digest = F.sha2(F.concat_ws(" ", F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")), 256)
-    changed = of_ids(marked, ids.withColumnRenamed("doc_id", "_id"), "left_semi", "_id").withColumn("_sha", digest)
+    changed = of_ids(marked, ids.withColumnRenamed("doc_id", "_id"), "left_semi", "_id").withColumn("_sha", _digest())
     changed = changed.join(kept.select(F.col("doc_id").alias("_id"), F.col("sha256").alias("_sha"), "kept"), ["_id", "_sha"], "left")
     changed = changed.filter("kept is null or kept != ''").withColumn("text", F.coalesce("kept", "text"))
     if "n_chars" in docs.columns:
