@@ -126,8 +126,10 @@ def _filed(size: int):
 def _tokens(size: int):
     def run(batches):
         for batch in batches:
-            sets = [shingles(t.as_py(), size).view(np.int64) for t in batch.column("text").cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "tokens"])
+            sets = [shingles(t.as_py(), size) for t in batch.column("text").cast(pa.binary())]
+            classes = [xxh3_128_digest(tokens.tobytes()) for tokens in sets]
+            arrays = [batch.column("doc_id"), pa.array(classes, pa.binary()), pa.array([tokens.view(np.int64) for tokens in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "class", "tokens"])
 
     return run
 
@@ -143,10 +145,12 @@ def _likely(batches):
         yield batch.select(["a", "b"]).filter(pa.array(PARTS * distance <= na + nb))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = settle(of_ids(docs, ids).mapInArrow(_tokens(size), "doc_id long, tokens array<long>"), "sets")
+def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int) -> DataFrame:
+    """The documents (a, b) of those pairs of classes whose sets are similar."""
+    nodes = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    nodes = settle(reps.select("rep", "doc", "class").join(nodes, "rep"), "nodes")
+    texts = of_ids(docs, nodes.select(F.col("doc").alias("doc_id")).distinct())
+    sets = settle(texts.mapInArrow(_tokens(size), "doc_id long, class binary, tokens array<long>"), "sets")
 
     def similar(batches):
         for batch in batches:
@@ -157,10 +161,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
                 keep.append(100 * both >= 80 * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("one")), "a").join(
-        sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("other")), "b"
-    )
-    return joined.select("a", "b", "one", "other").mapInArrow(similar, "a long, b long")
+    for side in ("a", "b"):
+        pairs = pairs.join(nodes.toDF(side, f"{side}_doc", f"{side}_class"), side)
+    joined = pairs.join(sets.toDF("a_doc", "a_class", "one"), ["a_doc", "a_class"]).join(sets.toDF("b_doc", "b_class", "other"), ["b_doc", "b_class"])
+    return joined.select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"), "one", "other").mapInArrow(similar, "a long, b long")
 
 
 def _across(rep, n, comp, part, sketch, one_block):
@@ -213,37 +217,40 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every row of ``docs`` (doc_id, text).
 
     Texts are lower-cased in A-Z and cut at blanks, tabs and line ends. Null and empty texts have no
-    shingles and are linked with nothing. Documents with equal sets form a class at once; only
-    one member of a class, the smallest id, takes part in the search. Rows that repeat a
-    doc_id count as one document with several texts and share its component. A row with a null doc_id is linked
+    shingles and are linked with nothing. Rows with equal sets form a class at once; only
+    one row of a class takes part in the search. Rows that repeat a
+    doc_id count as one document with several texts, each searched for itself, and share its component. A row with a null doc_id is linked
     with nothing and has a null component. Other columns of ``docs`` are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    filed = settle(docs.mapInArrow(_filed(size), "doc_id long, n_shingles long, class binary, keys array<long>, bands array<long>, sketches array<binary>"), "filed")
+    filed = docs.mapInArrow(_filed(size), "doc_id long, n_shingles long, class binary, keys array<long>, bands array<long>, sketches array<binary>").withColumn("row", F.monotonically_increasing_id())
+    filed = settle(filed, "filed")
     known = filed.filter("doc_id is not null and class is not null")
-    rep = known.groupBy("class").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n_shingles"))
-    member = settle(known.select("doc_id", "class").distinct().join(rep, "class").select("doc_id", "rep", "n_shingles"), "member")
+    # A class goes by the number of a row, as an id may have texts of several classes.
+    reps = known.groupBy("class").agg(F.min("row").alias("rep"), F.min("doc_id").alias("doc"), F.min("n_shingles").alias("n_shingles"))
+    reps = settle(reps, "reps")
+    member = settle(known.select("row", "doc_id", "class").join(reps, "class").select("row", "doc_id", "rep", "doc", "n_shingles"), "member")
 
-    rows = known.select("doc_id", F.explode("keys").alias("key"))
-    found = shared_keys(rows, "key", "doc_id").join(member, "doc_id")
+    rows = known.select("row", F.explode("keys").alias("key"))
+    found = shared_keys(rows, "key", "row").join(member, "row")
     found = settle(found.select("key", "rep", "n_shingles").distinct(), "shared")
 
-    zipped = known.select("doc_id", F.explode(F.arrays_zip("bands", "sketches")).alias("s"))
-    bits = zipped.select("doc_id", F.col("s.bands").alias("band"), F.col("s.sketches").alias("sketch"))
+    zipped = known.select("row", F.explode(F.arrays_zip("bands", "sketches")).alias("s"))
+    bits = zipped.select(F.col("row").alias("rep"), F.col("s.bands").alias("band"), F.col("s.sketches").alias("sketch"))
 
     star = found.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("last"), F.min_by("n_shingles", "rep").alias("na"))
     fits = (F.col("rep") > F.col("a")) & (5 * F.least("na", "n_shingles") >= 4 * F.greatest("na", "n_shingles"))
     pairs = found.join(star.filter("a < last"), "key").filter(fits)
     pairs = pairs.groupBy("a", F.col("rep").alias("b")).agg(F.min(F.col("key").bitwiseAND(F.lit(63))).alias("band"), F.min("na").alias("na"), F.min("n_shingles").alias("nb"))
     pairs = settle(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id"), "band").union(pairs.select("b", "band")).distinct()
-    some = settle(bits.join(wanted, ["doc_id", "band"], "left_semi").dropDuplicates(["doc_id", "band"]), "bits")
+    wanted = pairs.select(F.col("a").alias("rep"), "band").union(pairs.select("b", "band")).distinct()
+    some = settle(bits.join(wanted, ["rep", "band"], "left_semi").select("rep", "band", "sketch"), "bits")
     sketched = pairs.join(some.toDF("a", "band", "one"), ["a", "band"]).join(some.toDF("b", "band", "other"), ["b", "band"])
     likely = settle(sketched.select("a", "b", "na", "nb", "one", "other").mapInArrow(_likely, "a long, b long"), "likely")
-    same = member.filter("doc_id != rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    label = components(_verified(likely, docs, size).union(same))
+    same = member.filter("doc_id != doc").select(F.col("doc").alias("a"), F.col("doc_id").alias("b")).distinct()
+    label = components(_verified(likely, docs, reps, size).union(same))
 
-    more = _second_pass(docs, found, bits, label, pairs.select("a", "b"), size)
+    more = _second_pass(docs, found, bits, reps, label, pairs.select("a", "b"), size)
     if not more.isEmpty():
         label = components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     return (
@@ -253,9 +260,10 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     )
 
 
-def _second_pass(docs: DataFrame, found: DataFrame, bits: DataFrame, first: DataFrame, tried: DataFrame, size: int) -> DataFrame:
-    """Links between documents that share a key but are in different components so far."""
-    labelled = found.join(first.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+def _second_pass(docs: DataFrame, found: DataFrame, bits: DataFrame, reps: DataFrame, first: DataFrame, tried: DataFrame, size: int) -> DataFrame:
+    """Links between documents with classes that share a key but are in different components so far."""
+    label = reps.select("rep", "doc").join(first.withColumnRenamed("node", "doc"), "doc", "left").select("rep", F.coalesce("component", "doc").alias("component"))
+    labelled = found.join(label, "rep")
     per_key = labelled.groupBy("key").agg(
         F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("n"),
         F.sum(F.xxhash64("rep").cast("decimal(20,0)")).alias("print_1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("print_2"),
@@ -268,22 +276,22 @@ def _second_pass(docs: DataFrame, found: DataFrame, bits: DataFrame, first: Data
         .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     )
     left = settle(labelled.join(open_keys.select("key", "band", "blocks"), "key"), "open")
-    wanted = left.select(F.col("rep").alias("doc_id"), "band").distinct()
-    bits = settle(bits.join(wanted, ["doc_id", "band"], "left_semi").dropDuplicates(["doc_id", "band"]), "bits")
+    wanted = left.select("rep", "band").distinct()
+    bits = settle(bits.join(wanted, ["rep", "band"], "left_semi").select("rep", "band", "sketch"), "bits")
     part = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     dealt = (
         left.withColumn("part", part)
         .withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("low", F.least("part", "to"))
         .withColumn("high", F.greatest("part", "to"))
-        .join(bits.withColumnRenamed("doc_id", "rep"), ["rep", "band"])
+        .join(bits, ["rep", "band"])
         .select("key", "rep", "n_shingles", "component", "part", "low", "high", "sketch")
     )
     order = ["key", "low", "high", "n_shingles", "rep"]
     dealt = dealt.repartition("key", "low", "high").sortWithinPartitions(*order)
     pairs = dealt.mapInArrow(_compared, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
     pairs = settle(pairs, "second")
-    return pairs if pairs.isEmpty() else settle(_verified(pairs, docs, size), "links")
+    return pairs if pairs.isEmpty() else settle(_verified(pairs, docs, reps, size), "links")
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE) -> DataFrame:

@@ -40,6 +40,44 @@ def test_edges(spark):
     assert empty.collect() == [] and empty.columns == ["doc_id", "n_shingles", "component_id"]
 
 
+def several(rows):
+    """doc_id: smallest id reachable, where an id may have several texts."""
+    texts = groups([(k, text) for k, (_, text) in enumerate(rows)])
+    parent = {i: i for i, _ in rows}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for k, (_, first) in texts.items():
+        x, y = root(rows[k][0]), root(rows[first][0])
+        parent[max(x, y)] = min(x, y)
+    return {i: root(i) for i in parent}
+
+
+def test_several_texts_under_one_id(spark):
+    rng, rows = random.Random(7), []
+    for k in range(40):
+        x, y = prose(rng, 110), prose(rng, 100)
+        near = [list(x), list(y)]
+        for words in near:
+            words[rng.randrange(len(words))] = "new"
+        rows += [(3 * k, x), (3 * k, y), (3 * k + 1, near[0]), (3 * k + 2, near[1])]
+    rows = [(i, " ".join(words)) for i, words in rows] + [(500, ""), (500, "a b c d e f"), (501, "a b c d e f"), (501, None)]
+    rng.shuffle(rows)
+    got = near_duplicate_groups(docs(spark, rows)).collect()
+    assert len(got) == len(rows) and {(r["doc_id"], r["component_id"]) for r in got} == set(several(rows).items())
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_repeated_ids(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.randrange(100), text) for text in corpus(seed)]
+    got = near_duplicate_groups(docs(spark, rows)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == set(several(rows).items())
+
+
 def test_keeps_the_smallest_of_a_group(spark):
     frame = docs(spark, ["a b c d e f", "A b c d e f", "g h i", ""]).withColumnRenamed("source", "key")
     kept = one_of_each(frame)
