@@ -4,7 +4,7 @@ Every run of three words of a text is joined by its hash to the places where kno
 have it. A hit votes for the diagonal "place in the text minus place in the wording". On
 one diagonal lies a wording repeated word for word; inserted or missing words move the rest to a neighbouring
 one, so diagonals close to each other are merged. The span is verified by the share of the
-wording's runs it holds, compared as words, and by its length.
+wording's runs it holds, compared as words, by its length, and by the runs that tell the wording from others.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ RUN = 3
 BAND = 4
 #: Share of a wording's runs that a span must hold, and its most words per word of the wording.
 COVERED, STRETCH = 0.6, 1.5
+#: Runs with the name or version of a licence, which a span must hold if its wording does.
+TELLING = ("gnu general public", "license version 2", "license version 3")
 
 # Phrases and their labels.
 BASE = {
@@ -41,6 +43,29 @@ WORDINGS = {
 }
 
 
+def _runs(phrase: str) -> list[str]:
+    words = phrase.split()
+    return [" ".join(words[at:at + RUN]) for at in range(len(words) - RUN + 1)]
+
+
+def telling_places(wordings: dict[str, str]) -> list[list[list[int]]]:
+    """For each wording lists of places; a span must hold one of each list.
+
+    A list has the places of a run of TELLING, or those of the runs a wording with another label lacks that
+    holds COVERED of its runs.
+    """
+    found = []
+    for phrase, label in wordings.items():
+        runs = _runs(phrase)
+        lists = [[at for at, run in enumerate(runs) if run == name] for name in TELLING]
+        for other in (p for p, v in wordings.items() if v != label):
+            lacks = [at for at, run in enumerate(runs) if run not in _runs(other)]
+            if len(runs) - len(lacks) >= COVERED * len(runs):
+                lists.append(lacks)
+        found.append([places for places in lists if places])
+    return found
+
+
 def license_scan(docs: DataFrame, base: dict[str, str] = BASE, wordings: dict[str, str] = WORDINGS) -> DataFrame:
     """One row for every row of ``docs`` (doc_id, text).
 
@@ -54,12 +79,13 @@ def license_scan(docs: DataFrame, base: dict[str, str] = BASE, wordings: dict[st
     spark = docs.sparkSession
     table = []
     for number, (phrase, label, exact) in enumerate([*((p, v, True) for p, v in base.items()), *((p, v, False) for p, v in wordings.items())]):
-        words = phrase.split()
-        runs = len(words) - RUN + 1
-        table += [(number, label, exact, runs, at, " ".join(words[at:at + RUN])) for at in range(runs)]
+        table += [(number, label, exact, len(_runs(phrase)), at, run) for at, run in enumerate(_runs(phrase))]
     runs = spark.createDataFrame(table, "wording int, label string, exact boolean, runs int, place int, run string")
     runs = runs.withColumn("hash", F.xxhash64(*[F.split("run", " ")[k] for k in range(RUN)]))
 
+    needed = [*([] for _ in base), *telling_places(wordings)]
+    needed = F.array(*[F.array(*[F.array(*map(F.lit, places)) for places in lists]).cast("array<array<int>>") for lists in needed])
+
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("print"), ascii_words(F.col("text").cast("string")).alias("words"))
     key = ["doc_id", "print"]
     at = F.col("at")
@@ -74,15 +100,16 @@ def license_scan(docs: DataFrame, base: dict[str, str] = BASE, wordings: dict[st
     opens = F.when(F.col("exact") | gap.isNull() | (gap > BAND), 1).otherwise(0)
     spans = votes.withColumn("opens", opens).withColumn("span", F.sum("opens").over(side))
     spans = spans.groupBy(*key, "wording", "label", "exact", "runs", "span").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("held"),
+        F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
         F.min(F.col("diagonal") + F.array_min("places")).alias("start"),
         F.max(F.col("diagonal") + F.array_max("places") + RUN).alias("end"),
     )
+    spans = spans.withColumn("held", F.size("places"))
     share = F.col("held") / F.col("runs")
     found = spans.withColumn("share", share).filter(
         F.when(F.col("exact"), F.col("held") == F.col("runs"))
         .otherwise((F.col("share") >= COVERED) & (F.col("end") - F.col("start") <= STRETCH * (F.col("runs") + RUN - 1)))
-    )
+    ).filter(F.forall(F.get(needed, F.col("wording")), lambda places: F.arrays_overlap(places, F.col("places"))))
     only_base = lambda value: F.when(F.col("exact"), value)
     joined = lambda value: F.array_join(F.array_sort(F.collect_set(value)), ",")
     per_doc = found.groupBy(*key).agg(

@@ -61,6 +61,21 @@ def test_wordings_with_changes(spark):
     assert got[1]["labels"] == "" and got[1]["score"] == 0 and got[2]["labels"] == ""
 
 
+def test_near_wordings(spark):
+    cc, gnu = "This work is licensed under a Creative Commons Attribution", "This work is licensed under the GNU"
+    program = "is free software you can redistribute it and or modify it under the terms of the GNU"
+    want = [
+        *((phrase, label) for phrase, label in licenses.WORDINGS.items() if label != "apache-2"),
+        (f"{cc} 4.0 License", ""), (f"{cc}-NoDerivatives 4.0", ""), (f"{cc}-ShareAlike 4.0", "cc-by-sa"), (f"{cc}-NonCommercial 4.0", "cc-by-nc"),
+        (f"{gnu} General Public License version 2", ""), (f"{gnu} General Public License, version 3", "gpl-3"), (f"{gnu} Lesser General Public License version 3", ""),
+        (f"This program {program} General Public License", "gpl"), (f"This program {program} Affero General Public License", ""), (f"This library {program} Lesser General Public License", ""),
+        ("This work, too, is licensed under a Creative Commons Attribution-ShareAlike", "cc-by-sa"),
+    ]
+    got = {r["doc_id"]: r for r in licenses.license_scan(docs(spark, [text for text, _ in want])).collect()}
+    assert [got[k]["labels"] for k in range(len(want))] == [label for _, label in want]
+    assert all(bool(got[k]["score"]) == bool(label) for k, (_, label) in enumerate(want))
+
+
 def test_license_rows(spark):
     rows = [(1, "cc by nc"), (1, "cc by nc"), (1, "other"), (None, "cc by nc")]
     frame_ = docs(spark, rows).withColumnRenamed("lang", "labels").withColumnRenamed("source", "words")
