@@ -1,9 +1,7 @@
 """Licence scan, url filter, decontamination and mixing: no Python in their plans, and plain versions."""
 
-import math
 import random
 import re
-from itertools import combinations
 
 import pytest
 
@@ -156,23 +154,6 @@ def test_leaks(spark, monkeypatch):
     assert decontaminate.leaks(docs(spark, texts).filter("false"), bench).collect() == []
 
 
-def test_short_items_with_all_allowed_substitutions(spark):
-    items = {n: [f"i{n}x{k}" for k in range(n)] for n in range(1, 14)}
-    texts, want = [], set()
-    for n, item in items.items():
-        allowed = n - math.ceil(0.8 * n) if n >= 8 else 0
-        for gone in combinations(range(n), allowed):
-            words = [f"new{k}" if k in gone else w for k, w in enumerate(item)]
-            for text in ([*"abcdefgh", *words, *"ijklmnop"], words):
-                want.add((len(texts), n, n - allowed, n))
-                texts.append(" ".join(text))
-        for gone in combinations(range(n), allowed + 1):
-            texts.append(" ".join(["a", *(f"new{k}" if k in gone else w for k, w in enumerate(item)), "b"]))
-    bench = frame(spark, [(n, " ".join(item)) for n, item in items.items()], "item_id long, text string")
-    got = decontaminate.leaks(docs(spark, texts), bench).collect()
-    assert {(r["doc_id"], r["item_id"], r["n_equal"], r["n_window"]) for r in got} == want and len(got) == len(want)
-
-
 # --- mixing -----------------------------------------------------------------------------
 
 
