@@ -168,6 +168,70 @@ SELECT doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(c
 FROM d LEFT JOIN left_ USING (doc_id)
 """
 
+#: Unsigned CRC-32 of a short ASCII text, bit by bit.
+CRC = """
+xor(4294967295::BIGINT, list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(range(1, length({0}) + 1), lambda i: ascii(substr({0}, i, 1))::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))
+"""
+
+
+def crc(doc_id: str = "doc_id") -> str:
+    return CRC.format(f"{doc_id}::VARCHAR")
+
+
+def _leaf(text: str) -> str:
+    fields = [f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(fields)})"
+
+
+#: Levels of each tree in the SQL: enough for 16^8 leaves.
+LEVELS = 8
+
+
+def _manifest() -> str:
+    """Level by level: ``c`` are the nodes of a tree with their run (all digests) where it has several nodes."""
+    tampered = f"CASE WHEN {crc()} % 5 = 0 THEN translate(text, '{UPPER}', '{LOWER}') ELSE text END"
+    steps = [f"""
+WITH found AS (SELECT *, {tampered} AS now FROM documents),
+leaves AS MATERIALIZED (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf('text')} AS leaf, {_leaf('now')} AS current,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, {_leaf('text')}) - 1 AS pos
+  FROM found
+),
+t0 AS MATERIALIZED (SELECT tree, pos AS idx, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM leaves)"""]
+
+    def levels(name: str):
+        for k in range(LEVELS):
+            steps.append(f"{name}r{k} AS MATERIALIZED (SELECT tree, idx // 16 AS run, any_value(n) AS n, list(digest ORDER BY idx) AS members FROM {name}{k} GROUP BY ALL)")
+            steps.append(f"""{name}{k + 1} AS MATERIALIZED (
+  SELECT tree, run AS idx, CASE WHEN n > 1 THEN sha256(array_to_string(members, '')) ELSE members[1] END AS digest, (n + 15) // 16 AS n FROM {name}r{k}
+)""")
+
+    def climb(rows: str, name: str, label: str):
+        for k in range(LEVELS):
+            steps.append(f"""{label}{k + 1} AS MATERIALIZED (
+  SELECT x.* EXCLUDE (pos, cur, proof), pos // 16 AS pos,
+         CASE WHEN r.n > 1 THEN sha256(array_to_string(members[:pos % 16], '') || cur || array_to_string(members[pos % 16 + 2:], '')) ELSE cur END AS cur,
+         CASE WHEN r.n > 1 THEN proof || array_to_string(members[:pos % 16], '') || array_to_string(members[pos % 16 + 2:], '') ELSE proof END AS proof
+  FROM {rows if k == 0 else f"{label}{k}"} x JOIN {name}r{k} r ON r.tree = x.tree AND r.run = x.pos // 16
+)""")
+
+    levels("t")
+    steps.append(f"u0 AS MATERIALIZED (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS idx, digest, count(*) OVER () AS n, tree AS of_tree FROM t{LEVELS})")
+    levels("u")
+    steps.append("start AS MATERIALIZED (SELECT doc_id, leaf, tree, pos, current AS cur, '' AS proof FROM leaves)")
+    climb("start", "t", "a")
+    steps.append(f"""middle AS MATERIALIZED (
+  SELECT a.doc_id, a.leaf, '' AS tree, u0.idx AS pos, a.cur, a.proof, u0.digest AS subroot FROM a{LEVELS} a JOIN u0 ON u0.of_tree = a.tree
+)""")
+    climb("middle", "u", "b")
+    return ",\n".join(steps) + f"""
+SELECT b.doc_id, b.leaf, b.subroot, u.digest AS root, sha256(b.proof) AS proof_sha256, b.cur AS folded_root, b.cur = u.digest AS verified
+FROM b{LEVELS} b, u{LEVELS} u
+"""
+
+
 ORACLE: dict[str, str] = {
     "op2_license_scan": LICENSES,
     "op3_url_filter": URLS,
@@ -175,4 +239,5 @@ ORACLE: dict[str, str] = {
     "op7_mixing": _mixing(),
     "op8_decontamination": DECONTAMINATION,
     "op10_substring_dedup": REPEATS,
+    "op12_merkle_manifest": _manifest(),
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from exposcan.llm import ann, decontaminate, jaccard, licenses, mixing, quality, repeats, token_counts, toxicity, urls
+from exposcan.llm import ann, decontaminate, jaccard, licenses, manifest, mixing, quality, repeats, token_counts, toxicity, urls
 from exposcan.llm.oracle import ORACLE as ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,19 @@ def op10_substring_dedup(spark, sf_dir):
     return repeats.repeated_words(table(spark, sf_dir, "documents"))
 
 
+def unsigned_crc(doc_id):
+    """``crc32`` of the id in decimal, unsigned; null for a null id."""
+    return F.crc32(doc_id.cast("string").cast("binary"))
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    """Every fifth document is found lower-cased when the proofs are checked."""
+    text = F.when(unsigned_crc(F.col("doc_id")) % 5 == 0, manifest.lower_cased(F.col("text"))).otherwise(F.col("text"))
+    rows = manifest.manifest(table(spark, sf_dir, "documents"), found={"text": text})
+    return rows.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 

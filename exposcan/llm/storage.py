@@ -31,14 +31,15 @@ def _free_shuffles(spark: SparkSession) -> None:
         spark.sparkContext._jvm.System.gc()
 
 
-def settle(frame: DataFrame, label: str) -> DataFrame:
+def settle(frame: DataFrame, label: str, free: bool = True) -> DataFrame:
     """Write ``frame`` as a table in the shared folder and read it back.
 
     This cuts the lineage, so a lost executor costs the running tasks only, and the shuffles of the
-    steps before go: there is one step's on disk at a time.
+    steps before go: there is one step's on disk at a time. Without ``free`` they stay, which is quicker after small steps.
     """
     spark = frame.sparkSession
-    _free_shuffles(spark)
+    if free:
+        _free_shuffles(spark)
     path = f"{shared_folder(spark)}/exposcan-llm/{label}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
