@@ -232,6 +232,49 @@ FROM b{LEVELS} b, u{LEVELS} u
 """
 
 
+#: Levels of doubling in the SQL: periods up to 2^14.
+DOUBLINGS = 14
+
+
+def _periodic() -> str:
+    """Ranks of factors of 2^k words by doubling; where the next equal factor is at most 2^k on, that is the period."""
+    steps = [f"""
+WITH d AS (SELECT doc_id, {words(SPACED, lower=False)} AS ws, {crc()} AS h FROM documents),
+sized AS (SELECT *, len(ws) AS n, h // 10 AS g FROM d),
+aimed AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM sized),
+aimed_p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM aimed),
+w AS MATERIALIZED (
+  SELECT doc_id, i, CASE WHEN h % 10 = 0 AND i >= a THEN ws[a + (i - a) % p + 1] ELSE ws[i + 1] END AS word
+  FROM aimed_p, unnest(range(0, n)) AS t(i)
+),
+r0 AS MATERIALIZED (SELECT doc_id, i, dense_rank() OVER (ORDER BY word) AS r FROM w)"""]
+    for k in range(DOUBLINGS):
+        steps.append(f"""s{k} AS MATERIALIZED (
+  SELECT doc_id, d, min(i) AS start, max(i) - min(i) + d + {1 << k} AS length
+  FROM (
+    SELECT doc_id, i, d, i - row_number() OVER (PARTITION BY doc_id, d ORDER BY i) AS island
+    FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id, r ORDER BY i) - i AS d FROM r{k} WHERE r IS NOT NULL)
+    WHERE d <= {1 << k} AND d > {(1 << k) // 2}
+  ) GROUP BY doc_id, d, island
+)""")
+        steps.append(f"""p{k} AS (SELECT doc_id, i, r, lead(r, {1 << k}) OVER (PARTITION BY doc_id ORDER BY i) AS later FROM r{k}),
+r{k + 1} AS MATERIALIZED (SELECT doc_id, i, CASE WHEN later IS NOT NULL AND r IS NOT NULL THEN dense_rank() OVER (ORDER BY r, later) END AS r FROM p{k})""")
+    every = " UNION ALL ".join(f"SELECT * FROM s{k}" for k in range(DOUBLINGS))
+    steps.append(f"runs AS MATERIALIZED (SELECT doc_id, start, length, d AS period FROM ({every}) WHERE length >= greatest(6, 4 * d))")
+    steps.append("""best AS (
+  SELECT a.* FROM runs a ANTI JOIN runs b ON a.doc_id = b.doc_id AND (b.length * a.period > a.length * b.period
+    OR (b.length * a.period = a.length * b.period AND (b.start < a.start OR (b.start = a.start AND b.period < a.period))))
+),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS list FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, i FROM runs, unnest(range(start + period, start + length)) AS t(i)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM w ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)""")
+    return ",\n".join(steps) + """
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(list, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 ORACLE: dict[str, str] = {
     "op2_license_scan": LICENSES,
     "op3_url_filter": URLS,
@@ -239,5 +282,6 @@ ORACLE: dict[str, str] = {
     "op7_mixing": _mixing(),
     "op8_decontamination": DECONTAMINATION,
     "op10_substring_dedup": REPEATS,
+    "op11_periodic_runs": _periodic(),
     "op12_merkle_manifest": _manifest(),
 }
