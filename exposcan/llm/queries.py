@@ -118,8 +118,10 @@ def op13_personal_data(spark, sf_dir):
     def listed(spans: str):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    counts = [F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
-    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
 def pipeline(spark, sf_dir):
