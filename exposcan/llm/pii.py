@@ -248,7 +248,7 @@ def blank_field() -> Field:
     return Field(shape, np.zeros((LABELS, LABELS)), skip)
 
 
-def fit(texts: list[str], rounds: int = 400, rate: float = 0.1, ridge: float = 0.02) -> Field:
+def fit(texts: list[str], rounds: int = 200, rate: float = 0.1, ridge: float = 0.02) -> Field:
     """Weights of greatest pseudo-likelihood: each label given its neighbours', by gradient steps of adapted size."""
     held, labels, allowed, prev, next_, skips = [], [], [], [], [], []
     for text in texts:
