@@ -642,7 +642,13 @@ P1 = f"""SELECT file, email, email_context, sha1(email || '_' || email_context)
 
 @query("p1_text_lane", P1)
 def _(spark, sf):
-    return lanes.text_lane(t.texts(spark, sf), "doc", "text")
+    return lanes.text_lane(fs.cut_pieces(t.texts(spark, sf), "doc", "text"))
+
+
+@query("p1_text_lane_in_splits", P1)
+def _(spark, sf):
+    """Copies of a text are cut at different lines."""
+    return lanes.text_lane(fs.cut_pieces(t.texts(spark, sf), "doc", "text", 1 + F.col("doc") % 5))
 
 
 P2 = f"""SELECT doc AS file, email, email_context, sha1(email || email_context) AS id, 'Doc ' || doc AS origin FROM {LAST_HITS}
@@ -681,6 +687,18 @@ def _(spark, sf):
     return lanes.csv_lane(t.csv_texts(spark, sf), "doc", "text")
 
 
+# A note of two lines, so that quotes are open where the splits, of one to three lines, meet. Ten lines are five records, almost.
+P4_FOLDED = P4.replace(RECORDS, f"(SELECT * REPLACE (note || ' ' || note AS note) FROM {RECORDS})").replace("line_no <= 9", "line_no <= 5")
+
+
+@query("p4_csv_lane_in_splits", P4_FOLDED)
+def _(spark, sf):
+    """Records of two lines, the second inside quotes, in splits that end anywhere."""
+    folded = F.regexp_replace("text", r'(?md)^([0-9]+,[^,]*),"(.*)"$', '$1,"$2\n$2"')
+    pieces = fs.cut_pieces(t.csv_texts(spark, sf).withColumn("text", folded), "doc", "text", 1 + F.col("doc") % 3)
+    return lanes.csv_piece_lane(pieces)
+
+
 SHEET_KEPT = f"(SELECT doc FROM {RECORDS} WHERE line_no <= 10 AND (contact <> '' OR regexp_matches(note, {X1})))"
 SHEET_CONTEXT = f"CASE WHEN contact <> '' THEN {py_dict(('line_no', 'line_no'), ('note', py_string('note')))} ELSE {py_dict(('line_no', 'line_no'), ('contact', chr(39) + chr(34) * 2 + chr(39)))} END"
 P5 = f"""SELECT file, row_no, email, email_context, sha1(lower(email) || email_context) AS id, '' AS origin FROM (
@@ -739,7 +757,7 @@ def all_lanes(spark, sf):
     transformed = F.concat(F.lit("transformed_"), file, F.lit(".json"))
     csv = lanes.csv_lane(t.csv_texts(spark, sf), "doc", "text")
     return [
-        index.index_rows(lanes.text_lane(t.texts(spark, sf), "doc", "text"), "txt", plain, number),
+        index.index_rows(lanes.text_lane(fs.cut_pieces(t.texts(spark, sf), "doc", "text")), "txt", plain, number),
         index.index_rows(lanes.pdf_lane(t.pages(spark, sf)), "pdf", F.concat("origin", F.lit(".json")), number),
         index.index_rows(office, office_lane, office_name, number),
         index.index_rows(csv, "csv", transformed, number, F.col("row_no")),
@@ -793,7 +811,7 @@ def folder(spark: SparkSession) -> str:
 
 
 def findings(spark, sf):
-    rows = lanes.text_lane(t.texts(spark, sf), "doc", "text")
+    rows = lanes.text_lane(fs.cut_pieces(t.texts(spark, sf), "doc", "text"))
     return index.index_rows(rows, "txt", F.concat(F.col("file").cast("string"), F.lit(".json")), F.lit(7))
 
 

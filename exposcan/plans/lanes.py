@@ -18,15 +18,17 @@ from exposcan.functions.json_text import python_json
 from exposcan.functions.line_contexts import line_contexts
 from exposcan.functions.markup import xml_text
 from exposcan.functions.tabular import clean_values, csv_cells, csv_columns, first_email_field, record_context
-from exposcan.functions.text import fold_sizes, lines_of, newline_to_space, strip, stripped_size
+from exposcan.functions.digests import file_digest, line_terms, summed_terms
+from exposcan.functions.text import fold_sizes, let, lines_of, newline_to_space, strip, stripped_size, valid_utf8
 from exposcan.operators.dedup import first_per_email, last_per_email
 from exposcan.operators.joins import keep_qualified, salted_join
-from exposcan.operators.ordered import CHUNK, fold_documents, head_n
+from exposcan.operators.ordered import CHUNK, fold_documents
 from exposcan.operators.routing import is_identity_title
 from exposcan.operators.sniff import (
-    digital_extension, has_contact_header, office_digital_blocks, sniff_csv, sniff_csv_text, sniff_xml_text,
+    digital_extension, has_contact_header, office_digital_blocks, sniff_csv_text, sniff_xml_text,
 )
 from exposcan.session import materialise, with_once
+from exposcan.sources.csv_pieces import csv_heads, csv_piece_records, cut_csv
 from exposcan.sources.records import csv_record_texts, cut_records
 
 FINDING = ["file", "email", "email_context", "id", "origin"]
@@ -42,51 +44,64 @@ def line_findings(lines: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def text_lane(
-    files: DataFrame, file: str, text: str, seen: DataFrame | None = None, sha1: str | None = None
-) -> DataFrame:
-    """Findings of text files, equal contents read once.
+def _line_hits(line: Column) -> Column:
+    """Addresses of a line, with context; of lines a carriage return parts the first that has the address counts."""
 
-    ``sha1`` names the column with the hash of a file's bytes; without it the text is hashed.
-    Equal contents have equal findings, so copies are dropped in the same aggregate that keeps
-    the first line of each address: one shuffle, of findings only, combined map-side.
+    def hits(one: Column) -> Column:
+        return line_contexts(one, F.array_distinct(F.filter(rfc_emails(one), valid_email)))
+
+    def first_of_each(found: Column) -> Column:
+        return F.filter(found, lambda h, i: ~F.exists(F.slice(found, 1, i), lambda g: g["email"] == h["email"]))
+
+    parted = let(F.flatten(F.transform(lines_of(line), hits)), first_of_each)
+    none = F.array().cast("array<struct<email:string,email_context:string>>")
+    return F.when(line.contains("@"), F.when(line.contains("\r"), parted).otherwise(hits(line))).otherwise(none)
+
+
+def split_findings(pieces: DataFrame) -> DataFrame:
+    """One row per split of a file, and one per address and context in it, from ``path, size, block, place, line``.
+
+    Rows with an ``email`` are findings, with the ``place`` of their first line. The other ones sum up the lines of the split. All
+    of it is combined in the scan by one hash aggregate.
     """
-    # Once per file: as a plain column the optimizer would move the hash above the lines.
-    hashed = with_once(
-        files.where(F.col(text).contains("@")).select(
-            F.col(file).alias("file"), F.col(text).alias("text"), *([F.col(sha1).alias("given")] if sha1 else [])
-        ),
-        sha1=F.col("given") if sha1 else ids.content_sha1(F.col("text")),
-    )
-    lines = hashed.select("file", "sha1", F.posexplode(lines_of(F.col("text"))).alias("line_no", "line"))
-    found = line_findings(lines, "file", "sha1", "line_no")
-    first = found.groupBy("sha1", "email").agg(
-        F.min("file").alias("file"), F.min_by("email_context", "line_no").alias("email_context")
-    )
-    if seen is not None:
-        first = salted_join(first, seen.select("sha1").distinct(), ["sha1"], "left_anti", ["email"])
-    return first.select(
-        "file",
-        "email",
-        "email_context",
-        ids.finding_id_text(F.col("email"), F.col("email_context")).alias("id"),
-        ids.base_name(F.col("file").cast("string")).alias("origin"),
-    )
+    none = F.lit(None).cast("string")
+    mark = F.struct(none.alias("email"), none.alias("email_context"))
+    hits = with_once(pieces, hits=F.concat(F.array(mark), _line_hits(valid_utf8(F.col("line")))))
+    rows = hits.select("path", "size", "block", "place", *line_terms(F.col("line"), F.col("place")), F.explode("hits").alias("hit"))
+    terms = [c for c in rows.columns if c not in ("path", "size", "block", "place", "hit")]
+    of_line = F.col("hit.email").isNull()
+    rows = rows.select("path", "size", "block", "place", "hit.*", *[F.when(of_line, F.col(c)).alias(c) for c in terms])
+    return rows.groupBy("path", "size", "block", "email", "email_context").agg(F.min("place").alias("place"), *summed_terms())
 
 
-def big_text_lane(lines: DataFrame) -> DataFrame:
-    """Findings of text files of any size, from split lines; copies of files are not dropped.
+def file_digests(splits: DataFrame) -> DataFrame:
+    """``path, digest`` of files from their split rows. A file of a terabyte has some 8,000 of these."""
+    columns = [c for c in splits.columns if c not in ("path", "size", "block", "email", "email_context")]
+    parts = splits.where(F.col("email").isNull()).groupBy("path", "size").agg(
+        F.array_sort(F.collect_list(F.struct("block", *columns))).alias("parts"))
+    return parts.select("path", file_digest(F.col("parts"), F.col("size")).alias("digest"))
 
-    Lines are ordered by their split and place, so the files are read once and never numbered.
+
+def text_lane(pieces: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """Findings of text files of any size, from ``path, size, block, place, line``; equal contents count once.
+
+    Files are read once, in whatever splits. Equal files have equal digests however they are cut, and equal findings; of copies
+    the smallest path stays. ``seen`` holds the ``digest`` of files that an earlier run has read.
     """
-    found = line_findings(lines, "path", "block", "place")
-    first = first_per_email(found, ["path", "email"], ["block", "place"], F.col("email_context"))
+    splits = split_findings(pieces)
+    found = first_per_email(splits.where(F.col("email").isNotNull()), ["path", "email"], ["block", "place"], F.col("email_context"))
+    # A plain join: the engine splits a file that holds a large share of the findings.
+    first = found.join(file_digests(splits), "path").groupBy("digest", "email").agg(
+        F.min("path").alias("file"), F.min_by("email_context", "path").alias("email_context")
+    )
+    if seen is not None:
+        first = first.join(seen.select("digest").distinct(), "digest", "left_anti")
     return first.select(
-        F.col("path").alias("file"),
+        "file",
         "email",
         "email_context",
         ids.finding_id_text(F.col("email"), F.col("email_context")).alias("id"),
-        ids.base_name(F.col("path")).alias("origin"),
+        ids.base_name(F.col("file").cast("string")).alias("origin"),
     )
 
 
@@ -194,27 +209,18 @@ def csv_lane(files: DataFrame, file: str, text: str, decodable: str | None = Non
     return record_findings(cut_records(records), whole_cell=False).withColumn("origin", F.lit(""))
 
 
-def big_csv_lane(lines: DataFrame) -> DataFrame:
-    """Findings of csv files of any size, from split lines; a record may not span lines.
+def csv_piece_lane(pieces: DataFrame) -> DataFrame:
+    """The same of csv files of any size, from ``path, block, place, line``: see ``sources.csv_pieces``.
 
-    The first ten lines of each file give header and verdict; a second reading keeps only the
-    lines with an address. Those lines move only if the headers are too many to broadcast.
+    Header, verdict and records may cross splits. What is shuffled are the records with an address.
     """
-    head = materialise(head_n(lines.where(F.col("block") == 0), "path", "place", fv.HEAD_LINES))
-    kept = sniff_csv(head.select(F.col("path").alias("doc"), F.col("rank").alias("line_no"), "line"))
-    columns = csv_columns(F.col("line"))
-    headers = head.where(F.col("rank") == 1).select(
-        "path", F.col("place").alias("header_place"), columns.alias("columns"), F.size(csv_cells(F.col("line"))).alias("width")
-    ).join(kept.select(F.col("doc").alias("path")), "path", "left_semi")
-    rows = salted_join(lines.where(F.col("line").contains("@")), headers, ["path"], "inner", ["block", "place"])
-    records = rows.where(F.col("place") != F.col("header_place")).select(
-        F.col("path").alias("file"),
-        F.struct("block", "place").alias("row_no"),
-        F.col("line").alias("record"),
-        "columns",
-        "width",
-    )
-    return record_findings(cut_records(records), whole_cell=False).withColumn("origin", F.lit(""))
+    cut = materialise(cut_csv(pieces))
+    kept = csv_heads(cut).where(sniff_csv_text(F.col("head"))).select("path")
+    records = csv_piece_records(cut).join(kept, "path", "left_semi")
+    headers = records.where(F.col("row_no") == 0).select(
+        "path", csv_columns(F.col("record")).alias("columns"), F.size(csv_cells(F.col("record"))).alias("width"))
+    rows = records.where(F.col("row_no") > 0).join(headers, "path").withColumnRenamed("path", "file")
+    return record_findings(cut_records(rows), whole_cell=False).withColumn("origin", F.lit(""))
 
 
 def sheet_lane(records: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exposcan.functions.ids import base_name, content_sha1, file_ext
@@ -48,37 +48,36 @@ def read_texts(spark: SparkSession, directory: str, glob: str | None = None) ->
     )
 
 
-def read_split_lines(spark: SparkSession, directory: str, glob: str | None = None) -> DataFrame:
-    """``path, block, place, line`` of files of any size, read in splits and once.
+def read_pieces(spark: SparkSession, directory: str, glob: str | None = None) -> DataFrame:
+    """``path, size, block, place, line``: files of any size, read in splits and once.
 
-    ``block`` is where the split starts in its file and ``place`` grows within it, so the two
-    order the lines of a file without counting them.
+    Lines are cut at line feeds only and are as the bytes are: carriage returns stay. ``block`` is where the split starts in
+    its file and ``place`` grows by one per line within it, so the two order the lines of a file without
+    counting them.
     """
-    reader = spark.read.option("recursiveFileLookup", "true")
+    reader = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.text(directory).select(
         F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_size").alias("size"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("place"),
-        valid_utf8(F.col("value")).alias("line"),
+        F.col("value").alias("line"),
     )
 
 
-def number_lines(lines: DataFrame) -> DataFrame:
-    """``path, line_no, line`` from split lines.
+def cut_pieces(files: DataFrame, file: str, text: str, lines_per_block: Column | None = None) -> DataFrame:
+    """The same of whole texts, which are one block each unless ``lines_per_block`` cuts them.
 
-    Lines are numbered within their split and shifted by the line counts of the splits before.
-    Only the counts, one row per split, are ordered per file.
+    Texts without ``@`` hold no finding and are left out.
     """
-    blocks = lines.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("place").alias("first"))
-    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select(
-        "path", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skipped")
-    )
-    return lines.join(starts, ["path", "block"]).select(
-        "path", (F.col("place") - F.col("first") + F.col("skipped") + 1).alias("line_no"), "line"
-    )
+    body = F.regexp_replace(F.col(text), r"\n\z", "")
+    lines = F.when(F.col(text) == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n", -1))
+    block = F.floor(F.col("pos") / lines_per_block) if lines_per_block is not None else F.lit(0).cast("bigint")
+    return files.where(F.col(text).contains("@")).select(
+        "*", F.octet_length(text).cast("bigint").alias("size"), F.posexplode(lines).alias("pos", "line")
+    ).select(F.col(file).alias("path"), "size", block.alias("block"), F.col("pos").cast("bigint").alias("place"), "line")
 
 
 def read_lines(files: DataFrame, doc: str, text: str) -> DataFrame:

@@ -1,7 +1,10 @@
 """Hand-made cases for operators, lanes and sinks."""
 
+import csv
 import hashlib
+import io
 import json
+import random
 import re
 from pathlib import Path
 
@@ -13,7 +16,7 @@ from exposcan.operators import dedup, joins, ordered, report, routing, sinks, sn
 from exposcan.plans import identity, index, lanes, organise
 from exposcan.sources import files as fs
 from exposcan.sources import findings_json as fj
-from exposcan.sources import records
+from exposcan.sources import csv_pieces, records
 
 
 def rows(df, *order):
@@ -98,23 +101,27 @@ def test_csv_address_after_the_tenth_line(spark):
     assert [r[0] for r in df.select(sniff.sniff_csv_text(F.col("t"))).collect()] == [True, False, False]
 
 
+def text_lane(files, seen=None):
+    return lanes.text_lane(fs.cut_pieces(files, "doc", "text"), seen)
+
+
 def test_text_lane_cases(spark):
     gap = "." * 400
     texts = [(3, "me@example.com first\nme@example.com second"), (1, f"x@example.com {gap} x@example.com"),
              (2, f"x@example.com {gap} x@example.com"), (4, ""), (5, None), (6, "o'neil@example.com")]
     files = spark.createDataFrame(texts, "doc int, text string")
-    got = rows(lanes.text_lane(files, "doc", "text").select("file", "email", "email_context", "id"), "file")
+    got = rows(text_lane(files).select("file", "email", "email_context", "id"), "file")
     one = f"x@example.com {gap}"[:13 + 150].strip()
     two = "me@example.com first"
     assert got == [(1, "x@example.com", one, sha1(f"x@example.com_{one}")), (3, "me@example.com", two, sha1(f"me@example.com_{two}"))]
-    seen = files.where("doc = 3").select(F.sha1("text").alias("sha1"))
-    assert [r[0] for r in rows(lanes.text_lane(files, "doc", "text", seen).select("file"))] == [1]
+    seen = lanes.file_digests(lanes.split_findings(fs.cut_pieces(files.where("doc = 3"), "doc", "text")))
+    assert [r[0] for r in rows(text_lane(files, seen).select("file"))] == [1]
 
 
 def test_results_do_not_depend_on_partitions(spark):
     texts = [(n, f"user{n % 7}@example.com line {n % 11}\nand x{n % 5}@example.org") for n in range(200)]
     files = spark.createDataFrame(texts, "doc int, text string")
-    results = [sorted(map(tuple, lanes.text_lane(files.repartition(p), "doc", "text").collect())) for p in (1, 8)]
+    results = [sorted(map(tuple, text_lane(files.repartition(p)).collect())) for p in (1, 8)]
     assert results[0] == results[1]
 
 
@@ -306,49 +313,105 @@ def test_files_and_lines(spark, tmp_path):
     assert rows(fs.read_lines(whole, "path", "text").select("line_no", "line"), "line_no") == [(1, "one"), (2, "two a@b.cc"), (3, "three")]
     spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
     try:
-        lines = fs.read_split_lines(spark, str(tmp_path), "big.txt")
-        assert lines.select(F.spark_partition_id()).distinct().count() > 1
-        numbered = fs.number_lines(lines)
-        assert rows(numbered.select("line_no", "line"), "line_no") == [(n + 1, line) for n, line in enumerate(big.splitlines())]
-        found = lanes.big_text_lane(lines)
+        pieces = fs.read_pieces(spark, str(tmp_path), "big.txt")
+        assert pieces.select(F.spark_partition_id()).distinct().count() > 1
+        found = lanes.text_lane(pieces)
         assert found.count() == 3000
         assert found.where("email = 'u7@example.com'").first().origin == "big.txt"
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    parted = lanes.text_lane(fs.read_pieces(spark, str(tmp_path), "*.TXT"))
+    assert rows(parted.select("email", "email_context")) == [("a@b.cc", "two a@b.cc")]
+
+
+def test_first_line_of_an_address_when_carriage_returns_part_lines(spark):
+    files = spark.createDataFrame([(1, "u@example.com one\rv@example.com u@example.com two\r\nu@example.com three")], "doc int, text string")
+    assert rows(text_lane(files).select("email", "email_context"), "email") == [
+        ("u@example.com", "u@example.com one"), ("v@example.com", "v@example.com u@example.com two")]
+
+
+@pytest.mark.parametrize("cut", [1000, 1 << 20])
+def test_digests_do_not_depend_on_splits(spark, tmp_path, cut):
+    rng = random.Random(4)
+    lines = [f"line {rng.randrange(50)} u{n % 9}@example.com".encode() for n in range(300)]
+    swapped = [*lines[:20], lines[21], lines[20], *lines[22:]]
+    assert swapped != lines
+    files = {
+        "a": b"\n".join(lines) + b"\n", "b": b"\n".join(lines) + b"\n", "open": b"\n".join(lines), "crlf": b"\r\n".join(lines) + b"\r\n",
+        "swapped": b"\n".join(swapped) + b"\n", "odd": b"\n".join([*lines[:-1], lines[-1] + b"\xff"]) + b"\n",
+        # Each line feed moves across the end of another line.
+        "moved": b"\n".join([lines[0] + lines[1][:1], lines[1][1:], *lines[2:]]) + b"\n", "empty": b"", "blank": b"\n", "twice": b"\n\n",
+    }
+    for name, content in files.items():
+        (tmp_path / f"{name}.txt").write_bytes(content)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(cut))
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        pieces = fs.read_pieces(spark, str(tmp_path))
+        digests = {r["path"].split("/")[-1][:-4]: r["digest"] for r in lanes.file_digests(lanes.split_findings(pieces)).collect()}
+        assert digests["a"] == digests["b"] and len(set(digests.values())) == len(digests) - 1 == len(files) - 2
+        whole = spark.createDataFrame([(n, bytearray(c)) for n, c in files.items() if c.strip()], "doc string, bytes binary").selectExpr("doc", "cast(bytes as string) as text")
+        same = lanes.file_digests(lanes.split_findings(fs.cut_pieces(whole, "doc", "text"))).collect()
+        # Texts are decoded already, so what did not decode is another text.
+        assert {r["path"]: r["digest"] for r in same if r["path"] != "odd"} == {n: digests[n] for n in files if files[n].strip() and n != "odd"}
+        kept = [r.origin for r in lanes.text_lane(pieces).select("origin").distinct().collect()]
+        assert sorted(kept) == ["a.txt", "crlf.txt", "moved.txt", "odd.txt", "open.txt", "swapped.txt"]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_bytes_decide_copies_and_csv_decoding(spark, tmp_path):
     for name, content in (("a.txt", b"u@example.com\xff"), ("b.txt", b"u@example.com\xff"), ("c.txt", b"u@example.com"),
                           ("good.csv", b"name\nu@example.com\n"), ("bad.csv", b"name\nu@example.com\xff\n")):
         (tmp_path / name).write_bytes(content)
-    texts = fs.read_texts(spark, str(tmp_path), "*.txt")
-    assert rows(lanes.text_lane(texts, "path", "text", sha1="sha1").select("origin"), "origin") == [("a.txt",), ("c.txt",)]
-    assert rows(lanes.text_lane(texts, "path", "text").select("origin")) == [("a.txt",)]
+    found = lanes.text_lane(fs.read_pieces(spark, str(tmp_path), "*.txt"))
+    assert rows(found.select("origin"), "origin") == [("a.txt",), ("c.txt",)]
     tables = fs.read_texts(spark, str(tmp_path), "*.csv")
     found = lanes.csv_lane(tables, "path", "text", "decodable").select("file").collect()
     assert [r.file.rsplit("/")[-1] for r in found] == ["good.csv"]
 
 
-def test_big_csv_equals_whole_csv(spark, tmp_path):
-    for n, header in enumerate(['\n', 'id,"note, x",b\n', "id,Email\n", "id,x\n"]):
-        body = "".join(f'{i},"say ""{i}"" to u{i}@example.com",é{i},more\n' if i % 3 == 0 else f"{i},plain\n" for i in range(n // 3 * 12, 900))
-        (tmp_path / f"f{n}.csv").write_text(header + body)
+CSV_PARTS = ['"', '""', ",", "\n", "a", "x@y.example", '"a\nb"', '"a""b",', "\r\n", "\r", "é", ' "', "1,2\n", '\n"']
+
+
+def test_state_at_the_end_of_a_line_is_that_of_the_records():
+    """A text ends inside quotes exactly if what follows is taken for part of its last record."""
+    rng = random.Random(8)
+    for _ in range(5000):
+        line = "".join(rng.choice([p for p in CSV_PARTS if "\n" not in p and "\r" not in p]) for _ in range(rng.randrange(9)))
+        for start, inside in (("", False), ('"', True)):
+            read = list(csv.reader(io.StringIO(start + line + "\n,,next\n", newline=""), strict=False))
+            assert csv_pieces.ends_inside(line.encode(), inside) == (len(read) == 1), (start, line)
+
+
+@pytest.mark.parametrize("cut", [23, 333])
+def test_csv_in_splits_equals_csv_as_a_whole(spark, tmp_path, cut):
+    rng = random.Random(cut)
+    for n, header in enumerate(['\n', 'id,"note, x",b\n', "id,Email\n", "id,x\n", 'name,"a\nb"\n', "\r\nname\r\n"]):
+        body = "".join(f'{i},"say ""{i}"" to\nu{i}@example.com",é{i},more\n' if i % 3 == 0 else f"{i},plain\n" for i in range(n // 3 * 12, 60))
+        (tmp_path / f"f{n}.csv").write_bytes((header + body).encode())
     (tmp_path / "late.csv").write_text("id,x\n" + "1,2\n" * 10 + "1,u@example.com\n")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    (tmp_path / "never.csv").write_text('name,x\n1,"' + "u@example.com\n" * 30)
+    for n in range(30):
+        (tmp_path / f"r{n}.csv").write_bytes(("name,note\n" + "".join(rng.choice(CSV_PARTS) for _ in range(60))).encode())
+    columns = ["file", "row_no", "email", "email_context", "id"]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(cut))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
-        lines = fs.read_split_lines(spark, str(tmp_path), "*.csv")
-        big = lanes.big_csv_lane(lines).select("file", "email", "email_context", "id")
-        whole = lanes.csv_lane(fs.read_texts(spark, str(tmp_path), "*.csv"), "path", "text").select("file", "email", "email_context", "id")
-        got = sorted(map(tuple, big.collect()))
-        assert len(got) > 600 and got == sorted(map(tuple, whole.collect()))
+        found = lanes.csv_piece_lane(fs.read_pieces(spark, str(tmp_path), "*.csv")).select(*columns)
+        got = sorted(map(tuple, found.collect()))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    whole = lanes.csv_lane(fs.read_texts(spark, str(tmp_path), "*.csv"), "path", "text").select(*columns)
+    assert len(got) > 60 and got == sorted(map(tuple, whole.collect()))
 
 
 def test_findings_unique_after_index(spark):
     texts = [(n, f"user{n % 7}@Example.com line {n % 3}") for n in range(60)]
     files = spark.createDataFrame(texts, "doc int, text string")
-    one = index.index_rows(lanes.text_lane(files, "doc", "text"), "txt", F.concat(F.col("file").cast("string"), F.lit(".json")), F.lit(1))
+    one = index.index_rows(text_lane(files), "txt", F.concat(F.col("file").cast("string"), F.lit(".json")), F.lit(1))
     both = index.index_all(one, one)
     assert both.count() == both.select("id").distinct().count() == 21
     row = both.first()

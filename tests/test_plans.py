@@ -25,19 +25,19 @@ def documents(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
 
 
-def test_text_lane_moves_findings_once(documents):
-    shape = plan(lanes.text_lane(documents, "doc_id", "text"))
-    assert exchanges(lanes.text_lane(documents, "doc_id", "text")) == 1
-    assert "ReadSchema: struct<doc_id:bigint,text:string>" in shape
-    assert "StringContains(text,@)" in shape
-    assert shape.index("min_by") < shape.index("Exchange") < shape.index("partial_min_by")
+def text_lane(documents, doc="doc_id"):
+    return lanes.text_lane(fs.cut_pieces(documents, doc, "text"))
 
 
-def test_text_is_hashed_below_the_lines(documents):
-    """Above them the whole text would be carried along and hashed once per line."""
-    shape = lanes.text_lane(documents, "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
-    above, below = shape.split("Generate posexplode", 1)
-    assert "sha1(cast(text" not in above and "sha1(cast(text" in below
+def test_text_lane_moves_splits_and_findings(documents):
+    """What leaves the scan is combined there by a hash aggregate; lines and texts stay."""
+    shape = plan(text_lane(documents))
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in shape
+    assert "StringContains(text,@)" in shape
+    scans = shape.split("partial_bit_xor")
+    assert len(scans) > 1 and all("Exchange" not in part.split("FileScan")[0] for part in scans[1:])
+    first = re.search(r"HashAggregate\(keys=\[path[^\n]*partial_bit_xor[^\n]*", shape).group()
+    assert "line#" not in first and "SortAggregate" not in first
 
 
 def test_csv_lane_moves_nothing(documents):
@@ -79,6 +79,6 @@ def test_only_the_extension_table_is_forced_to_broadcast(spark, documents):
 def test_hot_groups_give_the_same_rows(spark):
     copies = spark.range(3000).select(F.col("id").alias("doc"), F.when(F.col("id") % 3 == 0, "u@example.com once").otherwise(
         F.concat(F.lit("u"), F.col("id").cast("string"), F.lit("@example.com"))).alias("text"))
-    found = lanes.text_lane(copies, "doc", "text")
+    found = text_lane(copies, "doc")
     assert found.count() == 2001
     assert found.where("email = 'u@example.com'").first().file == 0
