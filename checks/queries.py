@@ -696,7 +696,7 @@ def _(spark, sf):
     """Records of two lines, the second inside quotes, in splits that end anywhere."""
     folded = F.regexp_replace("text", r'(?md)^([0-9]+,[^,]*),"(.*)"$', '$1,"$2\n$2"')
     pieces = fs.cut_pieces(t.csv_texts(spark, sf).withColumn("text", folded), "doc", "text", 1 + F.col("doc") % 3)
-    return lanes.csv_piece_lane(pieces)
+    return lanes.csv_piece_lane(pieces).withColumn("file", big("file"))
 
 
 SHEET_KEPT = f"(SELECT doc FROM {RECORDS} WHERE line_no <= 10 AND (contact <> '' OR regexp_matches(note, {X1})))"

@@ -214,7 +214,7 @@ def csv_piece_lane(pieces: DataFrame) -> DataFrame:
 
     Header, verdict and records may cross splits. What is shuffled are the records with an address.
     """
-    cut = materialise(cut_csv(pieces))
+    cut = materialise(cut_csv(pieces.withColumn("path", F.col("path").cast("string"))))
     kept = csv_heads(cut).where(sniff_csv_text(F.col("head"))).select("path")
     records = csv_piece_records(cut).join(kept, "path", "left_semi")
     headers = records.where(F.col("row_no") == 0).select(
