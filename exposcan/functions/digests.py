@@ -14,8 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from exposcan.functions.text import let
-
 PRIME = (1 << 31) - 1
 BASES = (911_382_323, 972_663_749, 1_426_830_353, 1_801_741_777)
 _BITS = 7
@@ -24,50 +22,39 @@ _SIDE = 1 << _BITS
 _ROW = (1 << 33) - 1
 
 
-def power(base: int, exponent: Column, bits: int) -> Column:
-    """``base ** exponent`` in the field, by a table lookup per ``_BITS`` bits of the exponent."""
-    out = None
+def _power(base: int, exponent: str, bits: int) -> str:
+    """SQL of ``base ** exponent`` in the field: a table lookup per ``_BITS`` bits of the exponent.
+
+    A table is one constant: as an array of literals, every rule of the optimizer would walk through all of them.
+    """
+    out = ""
     for digit in range(-(-bits // _BITS)):
         step = pow(base, _SIDE**digit, PRIME)
-        table = F.expr(f"array({', '.join(f'{pow(step, k, PRIME)}L' for k in range(_SIDE))})")
-        at = F.shiftright(exponent, _BITS * digit) if digit else exponent
-        factor = F.get(table, at.bitwiseAND(F.lit(_SIDE - 1)).cast("int"))
-        out = factor if out is None else out * factor % PRIME
+        table = f"cast(split('{','.join(str(pow(step, k, PRIME)) for k in range(_SIDE))}', ',') as array<bigint>)"
+        factor = f"get({table}, cast(shiftright({exponent}, {_BITS * digit}) & {_SIDE - 1} as int))"
+        out = f"({out} * {factor} % {PRIME})" if out else factor
     return out
 
 
-def _names() -> list[str]:
-    return [f"sum_{k}" for k in range(len(BASES))]
-
-
-def line_terms(line: Column, place: Column) -> list[Column]:
+def line_terms(line: str, place: str) -> list[Column]:
     """What a line adds to its split: ``hash`` and a term per field. ``place`` grows by one per line of a task."""
-    row = place.bitwiseAND(F.lit(_ROW))
-    whole = F.xxhash64(line)
-    terms = [F.pmod(F.xxhash64(whole, F.lit(k)), F.lit(PRIME)) * power(base, row, 33) % PRIME for k, base in enumerate(BASES)]
-    return [whole.alias("hash"), *[t.alias(name) for t, name in zip(terms, _names())]]
+    whole, row = f"xxhash64({line})", f"({place} & {_ROW})"
+    terms = [f"pmod(xxhash64({whole}, {k}), {PRIME}) * {_power(base, row, 33)} % {PRIME} AS sum_{k}" for k, base in enumerate(BASES)]
+    return [F.expr(e) for e in (f"{whole} AS hash", *terms)]
 
 
 def summed_terms() -> list[Column]:
     """Aggregates of ``line_terms`` over the lines of a split; rows that are no lines have nulls there."""
-    return [F.count("hash").alias("lines"), F.bit_xor("hash").alias("hash"), *[F.sum(name).alias(name) for name in _names()]]
+    return [F.count("hash").alias("lines"), F.bit_xor("hash").alias("hash"), *[F.sum(f"sum_{k}").alias(f"sum_{k}") for k in range(len(BASES))]]
 
 
-def file_digest(splits: Column, size: Column) -> Column:
+def file_digest(splits: str, size: str) -> Column:
     """Digest from ``array<struct<block, place, lines, hash, sum_...>>`` in file order; ``place`` is the first line's."""
-
-    def add(total: Column, split: Column) -> Column:
-        def shifted(name: str, base: int) -> Column:
-            back = power(pow(base, -1, PRIME), split["place"].bitwiseAND(F.lit(_ROW)), 33)
-            term = split[name] % PRIME * back % PRIME
-            return ((total[name] + term * power(base, total["lines"], 49) % PRIME) % PRIME).alias(name)
-
-        return F.struct(
-            (total["lines"] + split["lines"]).alias("lines"), total["hash"].bitwiseXOR(split["hash"]).alias("hash"),
-            *[shifted(name, base) for name, base in zip(_names(), BASES)],
-        )
-
-    zero = F.lit(0).cast("bigint")
-    start = F.struct(zero.alias("lines"), zero.alias("hash"), *[zero.alias(name) for name in _names()])
-    return let(F.aggregate(splits, start, add), lambda t: F.sha1(
-        F.concat_ws("-", size.cast("string"), *[t[name].cast("string") for name in ("lines", "hash", *_names())])))
+    sums = []
+    for k, base in enumerate(BASES):
+        back = _power(pow(base, -1, PRIME), f"(s.place & {_ROW})", 33)
+        sums.append(f"(t.sum_{k} + s.sum_{k} % {PRIME} * {back} % {PRIME} * {_power(base, 't.lines', 49)} % {PRIME}) % {PRIME} AS sum_{k}")
+    start = ", ".join(["0L AS lines", "0L AS hash", *[f"0L AS sum_{k}" for k in range(len(BASES))]])
+    step = ", ".join(["t.lines + s.lines AS lines", "t.hash ^ s.hash AS hash", *sums])
+    folded = f"aggregate({splits}, struct({start}), (t, s) -> struct({step}), t -> array(t.lines, t.hash, {', '.join(f't.sum_{k}' for k in range(len(BASES)))}))"
+    return F.expr(f"sha1(concat_ws('-', cast({size} as string), cast({folded} as array<string>)))")

@@ -53,9 +53,9 @@ def _line_hits(line: Column) -> Column:
     def first_of_each(found: Column) -> Column:
         return F.filter(found, lambda h, i: ~F.exists(F.slice(found, 1, i), lambda g: g["email"] == h["email"]))
 
-    parted = let(F.flatten(F.transform(lines_of(line), hits)), first_of_each)
-    none = F.array().cast("array<struct<email:string,email_context:string>>")
-    return F.when(line.contains("@"), F.when(line.contains("\r"), parted).otherwise(hits(line))).otherwise(none)
+    parts = F.when(line.contains("\r"), lines_of(line)).otherwise(F.array(line))
+    found = let(parts, lambda ps: let(F.flatten(F.transform(ps, hits)), lambda f: F.when(F.size(ps) > 1, first_of_each(f)).otherwise(f)))
+    return F.when(line.contains("@"), found).otherwise(F.array().cast("array<struct<email:string,email_context:string>>"))
 
 
 def split_findings(pieces: DataFrame) -> DataFrame:
@@ -67,7 +67,7 @@ def split_findings(pieces: DataFrame) -> DataFrame:
     none = F.lit(None).cast("string")
     mark = F.struct(none.alias("email"), none.alias("email_context"))
     hits = with_once(pieces, hits=F.concat(F.array(mark), _line_hits(valid_utf8(F.col("line")))))
-    rows = hits.select("path", "size", "block", "place", *line_terms(F.col("line"), F.col("place")), F.explode("hits").alias("hit"))
+    rows = hits.select("path", "size", "block", "place", *line_terms("line", "place"), F.explode("hits").alias("hit"))
     terms = [c for c in rows.columns if c not in ("path", "size", "block", "place", "hit")]
     of_line = F.col("hit.email").isNull()
     rows = rows.select("path", "size", "block", "place", "hit.*", *[F.when(of_line, F.col(c)).alias(c) for c in terms])
@@ -77,9 +77,9 @@ def split_findings(pieces: DataFrame) -> DataFrame:
 def file_digests(splits: DataFrame) -> DataFrame:
     """``path, digest`` of files from their split rows. A file of a terabyte has some 8,000 of these."""
     columns = [c for c in splits.columns if c not in ("path", "size", "block", "email", "email_context")]
-    parts = splits.where(F.col("email").isNull()).groupBy("path", "size").agg(
+    parts = splits.where("lines > 0").groupBy("path", "size").agg(
         F.array_sort(F.collect_list(F.struct("block", *columns))).alias("parts"))
-    return parts.select("path", file_digest(F.col("parts"), F.col("size")).alias("digest"))
+    return parts.select("path", file_digest("parts", "size").alias("digest"))
 
 
 def text_lane(pieces: DataFrame, seen: DataFrame | None = None) -> DataFrame:
@@ -89,7 +89,9 @@ def text_lane(pieces: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     the smallest path stays. ``seen`` holds the ``digest`` of files that an earlier run has read.
     """
     splits = split_findings(pieces)
-    found = first_per_email(splits.where(F.col("email").isNotNull()), ["path", "email"], ["block", "place"], F.col("email_context"))
+    # Both branches take whole rows and choose them by a count, so that the files are scanned once for both.
+    row = F.struct("email_context", *[c for c in splits.columns if c not in ("path", "size", "block", "email", "email_context")])
+    found = splits.where("lines = 0").groupBy("path", "email").agg(F.min_by(row, F.struct("block", "place"))["email_context"].alias("email_context"))
     # A plain join: the engine splits a file that holds a large share of the findings.
     first = found.join(file_digests(splits), "path").groupBy("digest", "email").agg(
         F.min("path").alias("file"), F.min_by("email_context", "path").alias("email_context")
