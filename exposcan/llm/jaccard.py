@@ -15,8 +15,10 @@ with more chunks, and at last shingle by shingle; a pair is safe once either doc
 
 Nothing is capped. Pairs sharing a key are first linked in a star per key. A pair whose bit sketches (the
 parity of the shingles at each of some bits) differ in more places than similar sets can is dropped, the rest is verified
-on the shingle hashes. Keys whose documents the links leave in different components are then taken up again, and there
-every pair of documents of different components is compared by bit sketch and verified.
+on the shingle hashes. Keys whose documents the links leave in different components are then taken up again. There documents are compared
+by bit sketch until the likely pairs connect all that have one; of these pairs there are fewer than documents. Each group they
+connect is then gathered once, and its sets are compared until they are joined: a pair is compared if its ends are in different
+components so far, and only pairs that join two go out.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from xxhash import xxh3_128_digest
 from exposcan.llm.components import components
 from exposcan.llm.hashing import mixed, run_hashes, word_hashes
 from exposcan.llm.shared_keys import shared_keys
-from exposcan.llm.storage import of_ids, settle
+from exposcan.llm.storage import fresh, of_ids, settle
 
 SHINGLE = 5
 #: Similar: 100 * intersection >= 80 * union, that is 9 * difference <= sizes together.
@@ -41,8 +43,9 @@ PARTS = 9
 FILL = 3.5
 #: Bits of a bit sketch per shingle at the top of a size band.
 BITS = 2
-#: Documents of one key compared with each other at a time.
-BLOCK = 1024
+#: Documents of one key whose bit sketches are compared with each other at a time, and bytes of shingles of one group.
+BLOCK = 4096
+GROUP_BYTES = 32 << 20
 
 
 def shingles(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
@@ -167,50 +170,100 @@ def _verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, size: int) ->
     return joined.select(F.col("a_doc").alias("a"), F.col("b_doc").alias("b"), "one", "other").mapInArrow(similar, "a long, b long")
 
 
-def _across(rep, n, comp, part, sketch, one_block):
-    """Pairs of different components, of fitting sizes, that the bit sketches allow.
+def _forest(rep, n, comp, part, sketch, one_block):
+    """Pairs of different components, of fitting sizes, that the bit sketches allow: enough of them to connect all that have one.
 
     The rows of one key and one or two blocks by size: each is compared with the larger ones of
-    fitting size, in two blocks only across the blocks.
+    fitting size, in two blocks only across the blocks. Rows that pairs have connected are not compared again, so there
+    are fewer pairs than rows.
     """
     ends = np.searchsorted(n, n * 5 // 4, side="right")
-    found = []
+    root, found = np.arange(len(n)), []
     for at in range(len(n) - 1):
         rest = slice(at + 1, ends[at])
-        fits = comp[rest] != comp[at]
+        fits = (comp[rest] != comp[at]) & (root[rest] != root[at])
         if not one_block:
             fits &= part[rest] != part[at]
         to = at + 1 + np.flatnonzero(fits)
         if len(to):
             distance = np.bitwise_count(sketch[to] ^ sketch[at]).sum(axis=1, dtype=np.int64)
             to = to[PARTS * distance <= n[to] + n[at]]
-            found.append((np.minimum(rep[to], rep[at]), np.maximum(rep[to], rep[at])))
+            others, first = np.unique(root[to], return_index=True)
+            found.append((np.full(len(first), rep[at]), rep[to[first]]))
+            root[np.isin(root, others)] = root[at]
     return found
 
 
-def _compared(batches):
-    """Batches sorted by key, blocks and size; the last key of a batch may go on in the next."""
-    held: pa.Table | None = None
+def _links(doc, n, comp, part, tokens, one_block):
+    """Pairs whose sets are similar: as many as it takes to join the components that have such a pair.
+
+    The rows of one group and one or two blocks by size, as in ``_forest``. Bit sketches of the group's own size choose
+    the pairs whose sets are compared.
+    """
+    bits = 64 * max(1, -(-8 * int(n.max()) // 64))
+    sketch = np.empty((len(n), bits // 64), np.uint64)
+    for at, held in enumerate(tokens):
+        counts = np.bincount((mixed(held) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+        sketch[at] = np.packbits(counts.astype(np.uint8)).view(np.uint64)
+    ends = np.searchsorted(n, n * 5 // 4, side="right")
+    root, found = np.unique(comp, return_inverse=True)[1], []
+    for at in range(len(n) - 1):
+        rest = slice(at + 1, ends[at])
+        fits = root[rest] != root[at]
+        if not one_block:
+            fits &= part[rest] != part[at]
+        to = at + 1 + np.flatnonzero(fits)
+        distance = np.bitwise_count(sketch[to] ^ sketch[at]).sum(axis=1, dtype=np.int64)
+        for k in to[PARTS * distance <= n[to] + n[at]].tolist():
+            if root[k] != root[at]:
+                both = len(np.intersect1d(tokens[at], tokens[k], assume_unique=True))
+                if 100 * both >= 80 * (n[at] + n[k] - both):
+                    found.append((np.array([doc[at]]), np.array([doc[k]])))
+                    root[root == root[k]] = root[at]
+    return found
+
+
+def _in_groups(group: str, node: str, held_as: str, read, pairs_of):
+    """Batches sorted by group, blocks and size; the last group of a batch may go on in the next."""
 
     def pairs(table, ends):
-        key, low, high = (table.column(c).to_numpy() for c in ("key", "low", "high"))
+        key, low, high = (table.column(c).to_numpy() for c in (group, "low", "high"))
         starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]) if len(key) else []
-        columns = [table.column(c).to_numpy() for c in ("rep", "n_shingles", "component", "part")]
-        sketches, found = table.column("sketch").combine_chunks(), []
+        columns = [table.column(c).to_numpy() for c in (node, "n_shingles", "component", "part")]
+        held, found = table.column(held_as).combine_chunks(), []
         last = len(starts) if ends else len(starts) - 1
         for k in range(last):
             rows = slice(starts[k], starts[k + 1] if k + 1 < len(starts) else len(key))
-            sketch = np.frombuffer(b"".join(sketches[rows].to_pylist()), np.uint64).reshape(rows.stop - rows.start, -1)
-            found += _across(*(c[rows] for c in columns), sketch, low[rows.start] == high[rows.start])
+            found += pairs_of(*(c[rows] for c in columns), read(held[rows]), low[rows.start] == high[rows.start])
         a, b = (np.concatenate([np.empty(0, np.int64), *(x[side] for x in found)]) for side in (0, 1))
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"]), table.slice(starts[-1] if len(starts) else 0)
 
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        out, held = pairs(pa.concat_tables([held, table]) if held is not None else table, False)
-        yield out
-    if held is not None:
-        yield pairs(held, True)[0]
+    def run(batches):
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            out, held = pairs(pa.concat_tables([held, table]) if held is not None else table, False)
+            yield out
+        if held is not None:
+            yield pairs(held, True)[0]
+
+    return run
+
+
+_compared = _in_groups("key", "rep", "sketch", lambda held: np.frombuffer(b"".join(held.to_pylist()), np.uint64).reshape(len(held), -1), _forest)
+_linked = _in_groups("group", "doc", "tokens", lambda held: [np.asarray(x.values).view(np.uint64) for x in held], _links)
+
+
+def _in_blocks(rows: DataFrame, group: str, blocks: str) -> DataFrame:
+    """Each row once per block of its group, so that every two blocks meet; sorted as ``_in_groups`` wants it."""
+    part = F.pmod(F.xxhash64("rep"), F.col(blocks)).cast("int")
+    dealt = (
+        rows.withColumn("part", part)
+        .withColumn("to", F.explode(F.sequence(F.lit(0), F.col(blocks) - 1)))
+        .withColumn("low", F.least("part", "to"))
+        .withColumn("high", F.greatest("part", "to"))
+    )
+    return dealt.repartition(group, "low", "high").sortWithinPartitions(group, "low", "high", "n_shingles", "rep")
 
 
 def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -250,7 +303,7 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     same = member.filter("doc_id != doc").select(F.col("doc").alias("a"), F.col("doc_id").alias("b")).distinct()
     label = components(_verified(likely, docs, reps, size).union(same))
 
-    more = _second_pass(docs, found, bits, reps, label, pairs.select("a", "b"), size)
+    more = _second_pass(docs, found, bits, reps, label, size)
     if not more.isEmpty():
         label = components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     return (
@@ -260,7 +313,7 @@ def near_duplicate_groups(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     )
 
 
-def _second_pass(docs: DataFrame, found: DataFrame, bits: DataFrame, reps: DataFrame, first: DataFrame, tried: DataFrame, size: int) -> DataFrame:
+def _second_pass(docs: DataFrame, found: DataFrame, bits: DataFrame, reps: DataFrame, first: DataFrame, size: int) -> DataFrame:
     """Links between documents with classes that share a key but are in different components so far."""
     label = reps.select("rep", "doc").join(first.withColumnRenamed("node", "doc"), "doc", "left").select("rep", F.coalesce("component", "doc").alias("component"))
     labelled = found.join(label, "rep")
@@ -278,20 +331,20 @@ def _second_pass(docs: DataFrame, found: DataFrame, bits: DataFrame, reps: DataF
     left = settle(labelled.join(open_keys.select("key", "band", "blocks"), "key"), "open")
     wanted = left.select("rep", "band").distinct()
     bits = settle(bits.join(wanted, ["rep", "band"], "left_semi").select("rep", "band", "sketch"), "bits")
-    part = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    dealt = (
-        left.withColumn("part", part)
-        .withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("low", F.least("part", "to"))
-        .withColumn("high", F.greatest("part", "to"))
-        .join(bits, ["rep", "band"])
-        .select("key", "rep", "n_shingles", "component", "part", "low", "high", "sketch")
-    )
-    order = ["key", "low", "high", "n_shingles", "rep"]
-    dealt = dealt.repartition("key", "low", "high").sortWithinPartitions(*order)
-    pairs = dealt.mapInArrow(_compared, "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
-    pairs = settle(pairs, "second")
-    return pairs if pairs.isEmpty() else settle(_verified(pairs, docs, reps, size), "links")
+    sketched = _in_blocks(left.join(bits, ["rep", "band"]), "key", "blocks")
+    likely = settle(sketched.select("key", "rep", "n_shingles", "component", "part", "low", "high", "sketch").mapInArrow(_compared, "a long, b long").distinct(), "second")
+    if likely.isEmpty():
+        return likely
+    # Every likely pair lies in one of the groups these pairs connect, so a group's sets are compared once, whatever keys they share.
+    nodes = components(likely).withColumnsRenamed({"node": "rep", "component": "group"})
+    nodes = nodes.join(reps, "rep").join(label, "rep")
+    sizes = nodes.groupBy("group").agg(F.ceil(8 * F.sum("n_shingles") / GROUP_BYTES).cast("int").alias("blocks"))
+    nodes = settle(nodes.join(sizes, "group"), "nodes")
+    texts = of_ids(docs, nodes.select(F.col("doc").alias("doc_id")).distinct())
+    sets = texts.mapInArrow(_tokens(size), "doc_id long, class binary, tokens array<long>").dropDuplicates(["doc_id", "class"])
+    held = settle(nodes.join(sets.withColumnRenamed("doc_id", "doc"), ["doc", "class"]), "sets")
+    linked = _in_blocks(held, "group", "blocks").select("group", "doc", "n_shingles", "component", "part", "low", "high", "tokens")
+    return settle(linked.mapInArrow(_linked, "a long, b long"), "links")
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -300,6 +353,6 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     Rows that repeat such a doc_id all stay, and so do rows with a null doc_id.
     """
     groups = near_duplicate_groups(docs, size)
-    gone = settle(groups.filter("component_id != doc_id").select(F.col("doc_id").alias("_id")).distinct(), "gone")
-    marked = docs.withColumn("_id", F.col("doc_id").cast("long"))
-    return of_ids(marked, gone, "left_anti", "_id").drop("_id")
+    key = fresh("_id", docs.columns)
+    gone = settle(groups.filter("component_id != doc_id").select(F.col("doc_id").alias(key)).distinct(), "gone")
+    return of_ids(docs.withColumn(key, F.col("doc_id").cast("long")), gone, "left_anti", key).drop(key)

@@ -114,6 +114,7 @@ def mixture(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns."""
+    """The rows of ``docs`` that are kept, all columns, whatever their names."""
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text", "source", "lang")
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    return _drawn(docs).filter(uniform(key, F.lit("mix")) < F.round("_probability", 6)).select(*docs.columns)
+    return _drawn(packed).filter(uniform(key, F.lit("mix")) < F.round("_probability", 6)).select("row.*")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from exposcan.llm.hashing import run_hashes, word_hashes
 from exposcan.llm.shared_keys import shared_keys
-from exposcan.llm.storage import drop, of_ids, settle
+from exposcan.llm.storage import drop, fresh, of_ids, settle
 
 WINDOW = 13
 ANCHOR = 8
@@ -263,13 +263,14 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     plain = _plain(docs)
     _, kept = _found(plain, window)
-    ids = kept.select("doc_id").distinct()
-    key = F.col("doc_id").cast("long")
-    marked = docs.withColumn("_id", key)
-    same = of_ids(marked, ids.withColumnRenamed("doc_id", "_id"), "left_anti", "_id").drop("_id")
-    changed = of_ids(marked, ids.withColumnRenamed("doc_id", "_id"), "left_semi", "_id").withColumn("_sha", _digest())
-    changed = changed.join(kept.select(F.col("doc_id").alias("_id"), F.col("sha256").alias("_sha"), "kept"), ["_id", "_sha"], "left")
-    changed = changed.filter("kept is null or kept != ''").withColumn("text", F.coalesce("kept", "text"))
+    # Own columns get names that docs has not.
+    id_, sha, rest = (fresh(name, docs.columns) for name in ("_id", "_sha", "_kept"))
+    ids = kept.select(F.col("doc_id").alias(id_)).distinct()
+    marked = docs.withColumn(id_, F.col("doc_id").cast("long"))
+    same = of_ids(marked, ids, "left_anti", id_).select(*docs.columns)
+    changed = of_ids(marked, ids, "left_semi", id_).withColumn(sha, _digest())
+    changed = changed.join(kept.select(F.col("doc_id").alias(id_), F.col("sha256").alias(sha), F.col("kept").alias(rest)), [id_, sha], "left")
+    changed = changed.filter(F.col(rest).isNull() | (F.col(rest) != "")).withColumn("text", F.coalesce(rest, "text"))
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return same.unionByName(changed.select(*docs.columns))

@@ -54,6 +54,14 @@ def drop(settled: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, or the like of it, for a column beside ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def of_ids(rows: DataFrame, ids: DataFrame, how: str = "left_semi", key: str = "doc_id") -> DataFrame:
     """Rows whose key is among ``ids``, or with ``left_anti`` is not.
 

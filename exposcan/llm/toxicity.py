@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from exposcan.llm.labelled import fit_logistic, fold, labelled_sample, logistic, shift_to
+from exposcan.llm.storage import fresh
 
 #: Most training texts of each class, and most bytes of each.
 PER_CLASS = 2_000
@@ -182,12 +183,12 @@ def train_toxicity(sample: list[tuple[int, bytes]]) -> ToxicityModel:
     return model
 
 
-def _scored(model: ToxicityModel, schema: list[str]):
+def _scored(model: ToxicityModel, schema: list[str], text: str = "_text", score: str = "_score"):
     def run(batches):
         pair = model.compressors()
         for batch in batches:
-            scores = [logistic(model.logit(model.features(t.as_py() or b"", *pair))) for t in batch.column("_text").cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in schema), pa.array(scores, pa.float64())], names=[*schema, "_score"])
+            scores = [logistic(model.logit(model.features(t.as_py() or b"", *pair))) for t in batch.column(text).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in schema), pa.array(scores, pa.float64())], names=[*schema, score])
 
     return run
 
@@ -214,6 +215,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that are not predicted toxic."""
-    rows = docs.withColumn("_text", F.col("text").cast("string"))
-    schema = T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())])
-    return rows.mapInArrow(_scored(model_for(docs, labels), docs.columns), schema).filter(F.col("_score") < THRESHOLD).select(*docs.columns)
+    text, score = fresh("_text", docs.columns), fresh("_score", docs.columns)
+    rows = docs.withColumn(text, F.col("text").cast("string"))
+    schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())])
+    return rows.mapInArrow(_scored(model_for(docs, labels), docs.columns, text, score), schema).filter(F.col(score) < THRESHOLD).select(*docs.columns)

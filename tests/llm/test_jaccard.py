@@ -1,8 +1,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from exposcan.llm import jaccard
 from exposcan.llm.jaccard import bit_sketch, chunk_keys, filings, near_duplicate_groups, one_of_each, shingles
 from tests.llm.fixtures import corpus, docs, groups, prose, shingle_set
 
@@ -31,6 +33,61 @@ def test_large_group_of_near_copies(spark):
     assert result(near_duplicate_groups(docs(spark, texts))) == groups(list(enumerate(texts)))
 
 
+def unlike_copies(rng, n, changes=9, length=200):
+    """Near copies of one text, no two of them similar."""
+    base, out = prose(rng, length, 10**6), []
+    for k in range(n):
+        words = list(base)
+        for at in rng.sample(range(length), changes):
+            words[at] = f"n{k}-{at}"
+        out.append(" ".join(words))
+    return out
+
+
+@pytest.mark.parametrize("n", [300, 600])
+def test_second_pass_puts_out_fewer_rows_than_it_reads(n):
+    rng = random.Random(n)
+    sets = sorted((shingles(t.encode()) for t in unlike_copies(rng, n)), key=len)
+    sizes = np.array([len(x) for x in sets])
+    band = filings(int(sizes[0]))[0][0]
+    first = {"rep": range(n), "n_shingles": sizes, "component": range(n), "part": [k % 2 for k in range(n)]}
+    for low, high in ((0, 0), (0, 1)):
+        blocks = {"low": [low] * n, "high": [high] * n}
+        sketched = pa.table({"key": [1] * n, **first, **blocks, "sketch": [bit_sketch(x, band).tobytes() for x in sets]})
+        likely = sum(b.num_rows for b in jaccard._compared(iter(sketched.to_batches(max_chunksize=97))))
+        assert likely < n
+        held = pa.table({"group": [1] * n, "doc": range(n), **first, **blocks, "tokens": [x.view(np.int64) for x in sets]})
+        assert sum(b.num_rows for b in jaccard._linked(iter(held.to_batches(max_chunksize=97)))) == 0
+        # The same with one text that all are similar to: it joins them.
+        alike = [*sets[:-1], np.unique(np.concatenate(sets[:1]))]
+        held = held.set_column(held.schema.get_field_index("tokens"), "tokens", pa.array([x.view(np.int64) for x in alike], pa.list_(pa.int64())))
+        assert sum(b.num_rows for b in jaccard._linked(iter(held.to_batches()))) <= 1
+
+
+def test_unlike_copies_and_their_original(spark):
+    """Only the original joins the copies, and its id is the largest; some copies are joined by others only."""
+    rng = random.Random(12)
+    texts = unlike_copies(rng, 120, 8)
+    close = [t + " more words at the end" for t in texts[:40]]
+    texts = [*texts, *close]
+    rng.shuffle(texts)
+    assert result(near_duplicate_groups(docs(spark, texts))) == groups(list(enumerate(texts)))
+
+
+def test_groups_in_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 7)
+    monkeypatch.setattr(jaccard, "GROUP_BYTES", 20_000)
+    rng = random.Random(13)
+    texts = unlike_copies(rng, 60, 6) + unlike_copies(rng, 60, 7)
+    rng.shuffle(texts)
+    assert result(near_duplicate_groups(docs(spark, texts))) == groups(list(enumerate(texts)))
+
+
+def test_other_columns_keep_their_names(spark):
+    frame = docs(spark, ["a b c d e f", "a b c d e f", "g"]).selectExpr("*", "doc_id + 10 as _id", "7 as _ID_", "8 as component_id")
+    assert [(r["doc_id"], r["_id"], r["_ID_"]) for r in one_of_each(frame).orderBy("doc_id").collect()] == [(0, 10, 7), (2, 12, 7)]
+
+
 def test_edges(spark):
     rows = [(5, None), (6, ""), (7, " \t\n"), (8, "One two"), (9, "one  TWO"), (10, "É a b c d e"), (11, "é a b c d e"), (12, "w " * 50_000), (13, "w " * 40_000), (None, "one two"), (9, "one two")]
     got = sorted(near_duplicate_groups(docs(spark, rows)).collect(), key=str)

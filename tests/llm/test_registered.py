@@ -28,4 +28,4 @@ def test_sql(spark, name):
 
 def test_one_query_per_operator():
     numbers = [name.split("_")[0] for name in QUERIES if name != "pipeline"]
-    assert numbers == [f"op{n}" for n in range(1, 11)]
+    assert numbers == [f"op{n}" for n in range(1, 14)]
