@@ -19,9 +19,11 @@ from exposcan.functions import text as tx
 from exposcan.functions.line_contexts import line_contexts
 from exposcan.operators import dedup, joins, ordered, report, routing, sinks, sniff
 from exposcan.plans import identity, index, lanes, organise
+from exposcan.plans.folder import run_folder
 from exposcan.sources import files as fs
 from exposcan.sources import findings_json as fj
 from exposcan.sources import markup, records
+from exposcan.sources.listing import list_all_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -188,7 +190,7 @@ def _(spark, sf):
     return routing.drop_links(t.files(spark, sf)).select("path", "size")
 
 
-BUCKETS = ", ".join(f"('{e}', '{b}')" for b, es in fv.EXTENSIONS_OF_BUCKET.items() for e in es.split())
+BUCKETS = ", ".join(f"('{e}', '{b}')" for e, b in fv.BUCKET_OF_EXTENSION.items())
 ROUTED = f"""(SELECT f.*, CASE WHEN f.ext = '' THEN 'Dir_texto' ELSE b.bucket END AS bucket
  FROM {t.FILES} f LEFT JOIN (VALUES {BUCKETS}) AS b(ext, bucket) ON f.ext = b.ext)"""
 
@@ -799,6 +801,38 @@ def _(spark, sf):
     return organise.file_verdicts(t.files(spark, sf)).select("path", "bucket", "verdict")
 
 
+def folder_of_documents(spark, sf):
+    """A text file per document; the English ones have a line of addresses."""
+    text = F.when(F.col("lang") == "en", F.col("text")).otherwise(F.substring_index("text", '\n"Q ', 1))
+    path = f"{folder(spark)}/dump"
+    t.texts(spark, sf).select(F.col("doc"), text.alias("value")).repartition(8, "doc").write.partitionBy("doc").text(path)
+    return path
+
+
+# Tasks give files of several documents one name, so names are not flattened here.
+DUMP = """(SELECT doc, lang, CASE WHEN lang = 'en' THEN text ELSE regexp_replace(text, '(?s)\n"Q .*', '') END AS text FROM """ + t.TEXTS + ")"
+DUMP_HITS = f"(SELECT DISTINCT doc, email FROM {matches(t.lines_sql(DUMP, 'doc'), 'doc', text='line')} WHERE regexp_matches(email, {STRICT}))"
+LEDGER = f"""SELECT doc, CASE WHEN size < 512 THEN 'small' WHEN n > 1 THEN 'copy' WHEN findings > 0 THEN 'found' ELSE 'nothing_found' END AS verdict,
+ CASE WHEN size < 512 OR n > 1 THEN 0 ELSE coalesce(findings, 0) END AS findings FROM (
+ SELECT doc, size, row_number() OVER (PARTITION BY size < 512, text ORDER BY 'doc=' || doc || '/') AS n
+ FROM (SELECT doc, text, octet_length(encode(text)) + 1 AS size FROM {DUMP})) LEFT JOIN (SELECT doc, count(*) AS findings FROM {DUMP_HITS} GROUP BY doc) USING (doc)"""
+
+
+@query("p10_run_folder", LEDGER)
+def _(spark, sf):
+    """Listing, routing, lanes, index and ledger of a folder of files."""
+    path, registered = folder_of_documents(spark, sf), sources(spark, sf)
+    ledger = run_folder(spark, path, registered, 7, f"{folder(spark)}/index", sinks.RAW, flatten=False)
+    ledger = ledger.where(ids.file_ext(F.col("path")) == "txt")
+    return ledger.select(F.regexp_extract("path", "doc=([0-9]+)/", 1).cast("bigint").alias("doc"), "verdict", "findings")
+
+
+@query("s11_list_files")
+def _(spark, sf):
+    """The files of the given tables themselves."""
+    return list_all_files(spark, sf)
+
+
 # --- sinks ------------------------------------------------------------------------------
 
 

@@ -19,15 +19,53 @@ STRICT_EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 # --- Fixed values: extension routing ----------------------------------------------------
 
 TEXT_BUCKET = "Dir_texto"
-EXTENSIONS_OF_BUCKET = {
-    "Dir_PDF": "pdf",
-    "Dir_Imagenes": "jpg jpeg png bmp tiff svg heif heic",
-    "Dir_documentos": "docx doc odt rtf epub pptx ppt",
-    "Dir_basesdatos": (
-        "xlsx pst ods xls csv json sql mdb accdb db sqlite xml bson ndjson dump pgsql "
-        "pgpass frm ibd myd myi xql dmp ora psql nosql"
-    ),
-    "Dir_texto": "yml md txt dat",
+BUCKET_OF_EXTENSION = {
+    "pdf": "Dir_PDF",
+    "jpg": "Dir_Imagenes",
+    "jpeg": "Dir_Imagenes",
+    "png": "Dir_Imagenes",
+    "bmp": "Dir_Imagenes",
+    "tiff": "Dir_Imagenes",
+    "svg": "Dir_Imagenes",
+    "heif": "Dir_Imagenes",
+    "heic": "Dir_Imagenes",
+    "docx": "Dir_documentos",
+    "doc": "Dir_documentos",
+    "odt": "Dir_documentos",
+    "rtf": "Dir_documentos",
+    "epub": "Dir_documentos",
+    "pptx": "Dir_documentos",
+    "ppt": "Dir_documentos",
+    "xlsx": "Dir_basesdatos",
+    "pst": "Dir_basesdatos",
+    "ods": "Dir_basesdatos",
+    "xls": "Dir_basesdatos",
+    "csv": "Dir_basesdatos",
+    "json": "Dir_basesdatos",
+    "sql": "Dir_basesdatos",
+    "mdb": "Dir_basesdatos",
+    "accdb": "Dir_basesdatos",
+    "db": "Dir_basesdatos",
+    "sqlite": "Dir_basesdatos",
+    "xml": "Dir_basesdatos",
+    "bson": "Dir_basesdatos",
+    "ndjson": "Dir_basesdatos",
+    "dump": "Dir_basesdatos",
+    "pgsql": "Dir_basesdatos",
+    "pgpass": "Dir_basesdatos",
+    "frm": "Dir_basesdatos",
+    "ibd": "Dir_basesdatos",
+    "myd": "Dir_basesdatos",
+    "myi": "Dir_basesdatos",
+    "xql": "Dir_basesdatos",
+    "dmp": "Dir_basesdatos",
+    "ora": "Dir_basesdatos",
+    "psql": "Dir_basesdatos",
+    "nosql": "Dir_basesdatos",
+    "yml": "Dir_texto",
+    "md": "Dir_texto",
+    "txt": "Dir_texto",
+    "dat": "Dir_texto",
 }
 
 # --- Fixed values: thresholds and windows -----------------------------------------------

@@ -55,8 +55,7 @@ def keep_qualified(rows: DataFrame, files: DataFrame, key: str, spread: list[str
 
 
 def _extension_table(files: DataFrame) -> DataFrame:
-    rows = [(ext, bucket) for bucket, exts in fv.EXTENSIONS_OF_BUCKET.items() for ext in exts.split()]
-    return files.sparkSession.createDataFrame(rows, "ext string, bucket string")
+    return files.sparkSession.createDataFrame(list(fv.BUCKET_OF_EXTENSION.items()), "ext string, bucket string")
 
 
 def route_lookup(files: DataFrame, how: str = "left") -> DataFrame:

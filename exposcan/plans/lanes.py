@@ -88,7 +88,11 @@ def text_lane(pieces: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     Files are read once, in whatever splits. Equal files have equal digests however they are cut, and equal findings; of copies
     the smallest path stays. ``seen`` holds the ``digest`` of files that an earlier run has read.
     """
-    splits = split_findings(pieces)
+    return split_text_findings(split_findings(pieces), seen)
+
+
+def split_text_findings(splits: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """Findings of text files from their split rows."""
     # Both branches take whole rows and choose them by a count, so that the files are scanned once for both.
     row = F.struct("email_context", *[c for c in splits.columns if c not in ("path", "size", "block", "email", "email_context")])
     found = splits.where("lines = 0").groupBy("path", "email").agg(F.min_by(row, F.struct("block", "place"))["email_context"].alias("email_context"))
@@ -216,7 +220,11 @@ def csv_piece_lane(pieces: DataFrame) -> DataFrame:
 
     Header, verdict and records may cross splits. What is shuffled are the records with an address.
     """
-    cut = materialise(cut_csv(pieces.withColumn("path", F.col("path").cast("string"))))
+    return csv_cut_findings(materialise(cut_csv(pieces.withColumn("path", F.col("path").cast("string")))))
+
+
+def csv_cut_findings(cut: DataFrame) -> DataFrame:
+    """Findings of csv files from their splits, cut into records and pieces."""
     kept = csv_heads(cut).where(sniff_csv_text(F.col("head"))).select("path")
     records = csv_piece_records(cut).join(kept, "path", "left_semi")
     headers = records.where(F.col("row_no") == 0).select(
