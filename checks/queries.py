@@ -81,15 +81,22 @@ def _(spark, sf):
     )
 
 
-@query("s3_sheet_records", """SELECT c_mktsegment AS file, c_custkey AS row_no, CAST(pos AS BIGINT) AS pos, name, value, raw FROM (
+GAP = "c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_nationkey % 5 = 3"
+
+
+@query("s3_sheet_records", f"""SELECT c_mktsegment AS file, c_custkey AS row_no, CAST(pos AS BIGINT) AS pos, name, value, raw FROM (
  SELECT c_mktsegment, c_custkey, 0 AS pos, 'c_custkey' AS name, CAST(c_custkey AS VARCHAR) AS value, true AS raw FROM customer
  UNION ALL SELECT c_mktsegment, c_custkey, 1, 'c_name', c_name, false FROM customer
  UNION ALL SELECT c_mktsegment, c_custkey, 2, 'c_acctbal', CASE WHEN c_acctbal = 73.0 THEN '' ELSE CAST(
- round(c_acctbal) * CASE c_custkey % 3 WHEN 0 THEN 1e18 WHEN 1 THEN 1e-9 ELSE 1.0 END AS VARCHAR) END, c_acctbal <> 73.0 FROM customer)""")
+ round(c_acctbal) * CASE c_custkey % 3 WHEN 0 THEN 1e18 WHEN 1 THEN 1e-9 ELSE 1.0 END AS VARCHAR) END, c_acctbal <> 73.0 FROM customer
+ UNION ALL SELECT c_mktsegment, c_custkey, 3, 'c_nationkey', CASE WHEN {GAP} THEN '' WHEN bool_or({GAP}) OVER (PARTITION BY c_mktsegment)
+ THEN c_nationkey || '.0' ELSE CAST(c_nationkey AS VARCHAR) END, NOT ({GAP}) FROM customer)""")
 def _(spark, sf):
+    """The last column has gaps in two of the files."""
     power = F.when(F.col("c_custkey") % 3 == 0, 1e18).when(F.col("c_custkey") % 3 == 1, 1e-9).otherwise(1.0)
     c = t.table(spark, sf, "customer").withColumn("c_acctbal", F.when(F.col("c_acctbal") != 73.0, F.round("c_acctbal") * power))
-    found = records.sheet_records(c, F.col("c_mktsegment"), F.col("c_custkey"), ["c_custkey", "c_name", "c_acctbal"])
+    c = c.withColumn("c_nationkey", F.when(~F.expr(GAP), F.col("c_nationkey")))
+    found = records.sheet_records(c, F.col("c_mktsegment"), F.col("c_custkey"), ["c_custkey", "c_name", "c_acctbal", "c_nationkey"])
     return found.select("file", "row_no", F.posexplode("fields").alias("pos", "field")).select(
         "file", "row_no", big("pos"), "field.name", "field.value", "field.raw"
     )
@@ -603,7 +610,7 @@ def _(spark, sf):
 @query("j3_keep_qualified", f"SELECT doc, page_no FROM {t.PAGES} WHERE doc IN (SELECT doc FROM {GATED})")
 def _(spark, sf):
     pages = t.pages(spark, sf)
-    return joins.keep_qualified(pages.select("doc", "page_no"), sniff.page_gate(pages), "doc", ["page_no"]).select("doc", big("page_no"))
+    return joins.keep_qualified(pages.select("doc", "page_no"), sniff.page_gate(pages), "doc").select("doc", big("page_no"))
 
 
 @query("j4_route_lookup", f"SELECT f.path, b.bucket FROM {t.FILES} f JOIN (VALUES {BUCKETS}) AS b(ext, bucket) ON f.ext = b.ext")
@@ -854,7 +861,14 @@ PROTECT = sinks.Protection(key="check")
 MASKED = f"regexp_replace(regexp_replace(email_context, {X3}, '[email]', 'g'), {X1}, '[email]', 'g')"
 
 
-@query("k1_write_findings", f"""SELECT sha256('check|' || id) AS id, sha256('check|' || email) AS email, {MASKED} AS email_context, domain, "from", id_source FROM ({FINDINGS})""")
+def hmac_sql(value: str) -> str:
+    """Keyed hash by its definition: the key, padded to a block, is mixed with two constants."""
+    key = b"check".ljust(64, b"\0")
+    inner, outer = (f"unhex('{bytes(k ^ mix for k in key).hex()}')" for mix in (0x36, 0x5C))
+    return f"CASE WHEN {value} <> '' THEN sha256({outer} || unhex(sha256({inner} || encode({value})))) ELSE {value} END"
+
+
+@query("k1_write_findings", f"""SELECT {hmac_sql('id')} AS id, {hmac_sql('email')} AS email, {MASKED} AS email_context, domain, "from", id_source FROM ({FINDINGS})""")
 def _(spark, sf):
     path = f"{folder(spark)}/findings"
     sinks.write_findings(findings(spark, sf).select(*fv.FINDING_FIELDS), path, PROTECT)
@@ -874,13 +888,16 @@ def _(spark, sf):
     return sinks.read_findings(spark, root)
 
 
-@query("k3_append_records", f"SELECT sha256('check|' || number) AS number, name, image AS \"from\" FROM {t.REPLIES}, (VALUES (1), (2)) WHERE status = 'indexed'")
+@query("k3_append_records", f"""SELECT {hmac_sql('number')} AS number, {hmac_sql('name')} AS name, {hmac_sql("nullif(born, '')")} AS born, image AS "from"
+ FROM {t.REPLIES}, (VALUES (1), (2)) WHERE status = 'indexed'""")
 def _(spark, sf):
+    """Two batches, each appended twice: it counts once."""
     path = f"{folder(spark)}/records"
     rows = identity.identity_records(t.replies(spark, sf), "image", "reply", F.lit(7255))
-    for _run in range(2):
-        sinks.append_records(rows, path, PROTECT)
-    return spark.read.parquet(path).select(F.col("ID_Number").alias("number"), F.col("Name").alias("name"), F.col("FROM").alias("from"))
+    for batch in ("monday", "tuesday", "monday", "tuesday"):
+        sinks.append_records(rows, path, PROTECT, batch)
+    read = sinks.read_records(spark, path)
+    return read.select(F.col("ID_Number").alias("number"), F.col("Name").alias("name"), F.col("Date_of_Birth").alias("born"), F.col("FROM").alias("from"))
 
 
 @query("k4_register_sources", f"SELECT post_title, group_name, discovered, description, website, indexed, post_url, country, CAST(id AS INTEGER) AS id FROM {t.SUBMISSIONS}")

@@ -98,6 +98,8 @@ IDENTITY_FIELDS = [
     "Country", "Authority", "Expiration Date", "Name", "Gender",
     "Date of Birth", "Address", "ID Number",
 ]
+# Those that tell who somebody is.
+IDENTIFYING_FIELDS = ["Name", "Date of Birth", "Address", "ID Number"]
 IDENTITY_DATES = ["Expiration Date", "Date of Birth"]
 SOURCE_FIELDS = [
     "post_title", "group_name", "discovered", "description", "website",

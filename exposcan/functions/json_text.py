@@ -53,14 +53,20 @@ def last_members(text: Column, names: list[str]) -> Column:
     return F.from_json(text, ", ".join(f"`{name}` string" for name in names))
 
 
-def falsy(text: Column, name: str) -> Column:
-    """Whether Python takes this member of a JSON object for false: missing, null, false, 0 or empty."""
-    kinds = F.from_json(text, f"`{name}` string")[name]
-    empty = lambda kind: F.coalesce(F.size(F.from_json(text, f"`{name}` {kind}")[name]) == 0, F.lit(False))
-    return (
-        F.coalesce(kinds == "", F.lit(True)) | F.coalesce(F.from_json(text, f"`{name}` double")[name] == 0, F.lit(False))
-        | ~F.coalesce(F.from_json(text, f"`{name}` boolean")[name], F.lit(True)) | empty("array<string>") | empty("map<string,string>")
-    )
+def falsy_members(text: Column, names: list[str]) -> Column:
+    """Struct of flags: whether Python takes the member of a JSON object for false: missing, null, false, 0 or empty.
+
+    The text is parsed once per kind a member can have, for all names at a time.
+    """
+    read = {kind: F.from_json(text, ", ".join(f"`{name}` {kind}" for name in names)) for kind in ("string", "double", "boolean", "array<string>", "map<string,string>")}
+    parsed = F.struct(*[column.alias(f"k{n}") for n, column in enumerate(read.values())])
+
+    def flag(kinds: Column, name: str) -> Column:
+        string, double, boolean, *lists = (kinds[f"k{n}"][name] for n in range(len(read)))
+        empty = [F.coalesce(F.size(x) == 0, F.lit(False)) for x in lists]
+        return F.coalesce(string == "", F.lit(True)) | F.coalesce(double == 0, F.lit(False)) | ~F.coalesce(boolean, F.lit(True)) | empty[0] | empty[1]
+
+    return let(parsed, lambda kinds: F.struct(*[flag(kinds, name).alias(name) for name in names]))
 
 
 def _lower_escapes(quoted: Column) -> Column:

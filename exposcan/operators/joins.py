@@ -1,8 +1,8 @@
 """Joins that hold when one key owns a third of the rows.
 
-The many side gets a salt from its own columns, the one side is repeated once per salt, so a
-hot key spreads over that many tasks. Nothing is forced to broadcast: the engine still
-broadcasts a side whose measured size allows it.
+They are plain equi-joins with the many rows on the left. The engine broadcasts a side whose measured size allows it, and
+measures the partitions of the others at run time: what a hot key makes too large it splits over as many tasks as its rows
+need (``spark.sql.adaptive.skewJoin``), and only for that part the other side is read again. No side is copied beforehand.
 """
 
 from __future__ import annotations
@@ -12,17 +12,6 @@ from pyspark.sql import functions as F
 
 from exposcan import fixed_values as fv
 
-SALTS = 16
-
-
-def salted_join(
-    many: DataFrame, one: DataFrame, keys: list[str], how: str, spread: list[str], salts: int = SALTS
-) -> DataFrame:
-    """Equi-join on ``keys``; ``spread`` are columns of ``many`` that differ within a key."""
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    repeated = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return many.withColumn("_salt", salt).join(repeated, [*keys, "_salt"], how).drop("_salt")
-
 
 def latest_sources(sources: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One row per id, the last registered, and the rows left out of it.
@@ -49,9 +38,9 @@ def attach_source(findings: DataFrame, sources: DataFrame) -> DataFrame:
     return findings.join(chosen.withColumnRenamed("id", "id_source"), "id_source")
 
 
-def keep_qualified(rows: DataFrame, files: DataFrame, key: str, spread: list[str]) -> DataFrame:
+def keep_qualified(rows: DataFrame, files: DataFrame, key: str) -> DataFrame:
     """Rows of the files that passed a file-level verdict."""
-    return salted_join(rows, files.select(key).distinct(), [key], "left_semi", spread)
+    return rows.join(files.select(key), key, "left_semi")
 
 
 def _extension_table(files: DataFrame) -> DataFrame:

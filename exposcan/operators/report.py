@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from exposcan.functions.json_text import valid_json
-from exposcan.operators.joins import salted_join
 from exposcan.session import materialise
 
 FILES_PER_PART = 10_000
@@ -26,7 +25,7 @@ def run_report(outcomes: DataFrame, per_part: int = FILES_PER_PART) -> DataFrame
     """
     outcomes = materialise(outcomes.select("file", "status"))
     parts = outcomes.groupBy("status").agg(F.ceil(F.count("*") / per_part).alias("parts"))
-    placed = salted_join(outcomes, parts, ["status"], "inner", ["file"]).select(
+    placed = outcomes.join(parts, "status").select(
         "status", "file", F.pmod(F.xxhash64("file"), F.col("parts")).cast("int").alias("part")
     )
     return placed.groupBy("status", "part").agg(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +17,28 @@ from exposcan.functions.text import strip
 from exposcan.operators.dedup import dedup_by_id
 
 
+_BLOCK = 64  # bytes of a block of SHA-256
+
+
 @dataclass(frozen=True)
 class Protection:
-    """How personal values are written. The key is the caller's; there is no default."""
+    """How personal values are written. The key is the caller's; there is no default.
+
+    Values become keyed hashes (HMAC-SHA-256). The padded keys are read by subqueries when the plan runs: neither
+    they nor the key stand in plans, logs of plans or event logs.
+    """
 
-    key: str
+    key: str = field(repr=False)
+
+    def _pad(self, mix: int) -> Column:
+        secret = self.key.encode()
+        secret = (hashlib.sha256(secret).digest() if len(secret) > _BLOCK else secret).ljust(_BLOCK, b"\0")
+        row = [(bytearray(k ^ mix for k in secret),)]
+        return SparkSession.active().createDataFrame(row, "pad binary").scalar()
 
     def pseudonym(self, value: Column) -> Column:
-        return F.when(value != "", F.sha2(F.concat(F.lit(self.key), F.lit("|"), value), 256)).otherwise(value)
+        inner = F.unhex(F.sha2(F.concat(self._pad(0x36), value.cast("binary")), 256))
+        return F.when(value != "", F.sha2(F.concat(self._pad(0x5C), inner), 256)).otherwise(value)
 
     def findings(self, rows: DataFrame) -> DataFrame:
         """The id is keyed too: it is a plain hash of the address and could be guessed."""
@@ -35,7 +50,9 @@ class Protection:
         )
 
     def records(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn("ID Number", self.pseudonym(F.col("`ID Number`")))
+        """All that tells who somebody is; country, authority, gender and expiry stay."""
+        named = {name: self.pseudonym(F.col(f"`{name}`")) for name in fv.IDENTIFYING_FIELDS}
+        return rows.withColumns(named)
 
 
 RAW = None
@@ -130,11 +147,37 @@ def upsert_findings(
     return version + 1
 
 
-def append_records(records: DataFrame, path: str, protection: Protection | None) -> None:
-    """Append identity records; there is no key, so repeats accumulate."""
+def append_records(records: DataFrame, root: str, protection: Protection | None, batch: str) -> bool:
+    """Append a batch of identity records below ``root``; there is no key, so repeats in different batches accumulate.
+
+    A batch counts once, however often it is appended: its rows go to a new folder, which counts when the batch's pointer
+    is created, and that is never replaced. Returns whether this call is the one that counts.
+    """
+    spark = records.sparkSession
+    pointer, fs = _folder(spark, root, f"batch-{hashlib.sha256(batch.encode()).hexdigest()}")
+    if fs.exists(pointer):
+        return False
+    data = f"data-{uuid.uuid4().hex}"
     rows = _protected(records, protection, "records")
     clean = rows.select(*[F.col(f"`{c}`").alias(c.replace(" ", "_")) for c in rows.columns])
-    clean.write.mode("append").parquet(path)
+    clean.write.mode("errorifexists").parquet(f"{root}/{data}")
+    try:
+        out = fs.create(pointer, False)
+    except Exception:
+        if not fs.exists(pointer):
+            raise
+        path, _ = _folder(spark, root, data)  # a writer of the same batch was faster
+        fs.delete(path, True)
+        return False
+    out.writeBytes(data)
+    out.close()
+    return True
+
+
+def read_records(spark: SparkSession, root: str) -> DataFrame:
+    """The records of all batches that count. What a run that died has left is not read."""
+    pointers = spark.read.text(f"{root}/batch-*").select(F.col("value")).collect()  # a line per batch
+    return spark.read.parquet(*[f"{root}/{r['value']}" for r in pointers])
 
 
 def register_sources(submissions: DataFrame, now: Column) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from exposcan import fixed_values as fv
 from exposcan.functions.ids import empty_to_null
-from exposcan.functions.json_text import falsy, json_block, last_members, one_json_value
+from exposcan.functions.json_text import falsy_members, json_block, last_members, one_json_value
 from exposcan.operators.report import run_report
 from exposcan.session import with_once
 from exposcan.sources.findings_json import identity_fields, identity_members
@@ -34,10 +34,12 @@ def judge_replies(replies: DataFrame, image: str, reply: str) -> DataFrame:
         replied.select("file", "json"), members=F.from_json("json", "map<string,string>"),
         text=last_members(F.col("json"), ["Information"])["Information"],
     )
-    found = parsed.select("file", "members", "text", *identity_members(F.col("text")))
     # A name or number that Python takes for false (0, false, empty) identifies nobody; such dates are no dates.
-    false = {name: F.coalesce(falsy(F.col("text"), name), F.lit(True)) for name in ("Name", "ID Number", *fv.IDENTITY_DATES)}
-    fields = identity_fields(found, "file", "members", "text", "keys")
+    judged = ["Name", "ID Number", *fv.IDENTITY_DATES]
+    keys, info = identity_members(F.col("text"))
+    found = with_once(parsed, keys=keys, info=info, false=falsy_members(F.col("text"), judged))
+    false = {name: F.coalesce(F.col(f"false.`{name}`"), F.lit(True)) for name in judged}
+    fields = identity_fields(found, "file", "members", "text", "keys", "false")
     status = (
         F.when(F.col("members").isNull(), "error")
         .when(~F.map_contains_key("members", F.lit("Information")), "ignored")

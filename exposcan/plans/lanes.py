@@ -21,7 +21,7 @@ from exposcan.functions.tabular import clean_values, csv_cells, csv_columns, fir
 from exposcan.functions.digests import file_digest, line_terms, summed_terms
 from exposcan.functions.text import fold_sizes, let, lines_of, newline_to_space, strip, stripped_size, valid_utf8
 from exposcan.operators.dedup import first_per_email, last_per_email
-from exposcan.operators.joins import keep_qualified, salted_join
+from exposcan.operators.joins import keep_qualified
 from exposcan.operators.ordered import CHUNK, fold_documents
 from exposcan.operators.routing import is_identity_title
 from exposcan.operators.sniff import (
@@ -155,7 +155,7 @@ def pdf_lane(pages: DataFrame) -> DataFrame:
     ).where(F.col("chars") > fv.DIGITAL_CHARS)
     gate = found.where(F.col("first_page") <= fv.HEAD_PAGES).select("doc").distinct()
     qualified = gate.join(digital.select("doc"), "doc", "left_semi")
-    kept = salted_join(found, qualified, ["doc"], "left_semi", ["email"])
+    kept = keep_qualified(found, qualified, "doc")
     return kept.select(
         F.col("doc").alias("file"),
         "email",
@@ -245,7 +245,7 @@ def sheet_lane(records: DataFrame) -> DataFrame:
     )
     found = materialise(flagged)
     early = found.where(F.col("row_no") <= fv.HEAD_LINES).select("file")
-    others = keep_qualified(found.where(~F.col("headed")), early, "file", ["row_no"])
+    others = keep_qualified(found.where(~F.col("headed")), early, "file")
     return found.where("headed").unionByName(others).drop("headed").withColumn("origin", F.lit(""))
 
 

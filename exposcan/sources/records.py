@@ -35,22 +35,31 @@ def read_records(files: DataFrame, file: str, text: str) -> DataFrame:
 
 
 def sheet_records(table: DataFrame, file: Column, row_no: Column, columns: list[str]) -> DataFrame:
-    """Records of a typed table: missing cells are empty text, numbers stay numbers."""
-    types = {f.name: f.dataType for f in table.schema.fields}
-    return table.select(
-        file.alias("file"),
-        row_no.cast("bigint").alias("row_no"),
-        F.array(*[_cell(name, types[name]) for name in columns]).alias("fields"),
-    )
+    """Records of a typed table: missing cells are empty text, numbers stay numbers.
+
+    As in the published reader, the type of a column is that of its file: a gap makes all whole numbers of the column floats
+    there (``5`` becomes ``5.0``), booleans stay what they are. Gaps are found by one aggregate; files without any are joined
+    with nothing.
+    """
+    types = [table.schema[name].dataType for name in columns]
+    cells = F.struct(*[F.col(f"`{name}`").alias(f"c{k}") for k, name in enumerate(columns)])
+    rows = table.select(file.alias("file"), row_no.cast("bigint").alias("row_no"), cells.alias("cells"))
+    whole = [k for k, kind in enumerate(types) if isinstance(kind, T.IntegralType)]
+    gaps = {}
+    if whole:
+        found = rows.groupBy("file").agg(F.array(*[F.bool_or(F.col(f"cells.c{k}").isNull()) for k in whole]).alias("gaps"))
+        rows = rows.join(found.where(F.exists("gaps", lambda g: g)), "file", "left")
+        gaps = {k: F.coalesce(F.get("gaps", F.lit(place)), F.lit(False)) for place, k in enumerate(whole)}
+    fields = [_cell(name, types[k], F.col(f"cells.c{k}"), gaps.get(k)) for k, name in enumerate(columns)]
+    return rows.select("file", "row_no", F.array(*fields).alias("fields"))
 
 
-def _cell(name: str, kind: T.DataType) -> Column:
-    column = F.col(f"`{name}`")
+def _cell(name: str, kind: T.DataType, column: Column, gap: Column | None) -> Column:
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         missing, value, number = column.isNull() | F.isnan(column), python_float(column), True
-    elif isinstance(kind, T.BooleanType):
-        missing, value, number = column.isNull(), column.cast("string"), True
     elif isinstance(kind, T.IntegralType):
+        missing, value, number = column.isNull(), F.when(gap, python_float(column)).otherwise(column.cast("string")), True
+    elif isinstance(kind, T.BooleanType):
         missing, value, number = column.isNull(), column.cast("string"), True
     else:
         missing, value, number = column.isNull(), column.cast("string"), False

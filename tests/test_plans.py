@@ -71,11 +71,31 @@ def test_only_the_extension_table_is_forced_to_broadcast(spark, documents):
     try:
         assert "BroadcastHashJoin" in plan(routing.route_by_extension(files))
         verdict = documents.select("doc_id").where("doc_id > 3")
-        assert "Broadcast" not in plan(joins.keep_qualified(documents.select("doc_id", "lang"), verdict, "doc_id", ["lang"]))
+        assert "Broadcast" not in plan(joins.keep_qualified(documents.select("doc_id", "lang"), verdict, "doc_id"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_hot_key_is_split_when_the_join_runs(spark):
+    """A third of the rows have one key: its partition is split, and no side is copied beforehand."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        many = spark.range(0, 300_000, 1, 8).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("doc"), F.uuid().alias("text"))
+        files = spark.range(0, 300_000, 1, 8).select(F.col("id").alias("doc")).where("doc % 2 = 0")
+        kept = joins.keep_qualified(many, files, "doc")
+        assert "Expand" not in plan(kept) and "Generate" not in plan(kept)
+        assert len(kept.collect()) == 100_000 + 100_000
+        assert "skew=true" in plan(kept)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
 def test_hot_groups_give_the_same_rows(spark):
     copies = spark.range(3000).select(F.col("id").alias("doc"), F.when(F.col("id") % 3 == 0, "u@example.com once").otherwise(
         F.concat(F.lit("u"), F.col("id").cast("string"), F.lit("@example.com"))).alias("text"))
