@@ -1,7 +1,8 @@
 """Text of XML documents.
 
-The text nodes are taken by pattern rather than by a parsed tree: a document that does not
-parse must cost its own row, not the job, and sections of literal text must not be lost.
+The engine's own XPath takes the text nodes. It fails the job on a document that does not parse, so every document is judged first by the
+engine's XML reader, which marks such a document in its own row. Both see the document inside an element of their own, whose name no
+document can know: so several roots, or text beside the root, are no parse errors but something the path can ask for.
 """
 
 from __future__ import annotations
@@ -11,107 +12,85 @@ from pyspark.sql import functions as F
 
 from exposcan.functions.text import let
 
-_TOKEN = (
-    r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<!DOCTYPE[^\[>]*+(?:\[.*?\]\s*+)?+>"
-    r"|<[^<>\"']*+(?:\"[^\"]*+\"[^<>\"']*+|'[^']*+'[^<>\"']*+)*+>|[^<]++"
-)
-_DOCTYPE = r"(?s)<!DOCTYPE[^\[>]*+(?:\[.*?\]\s*+)?+>"
-_BREAK = "\x00"
-_REFERENCE = r"(?s)&#[xX]?[0-9a-fA-F]++;|&(?:lt|gt|quot|apos|amp);|[^&]++|&"
-
-
+# Only space, instructions and comments may stand before it.
+_DOCTYPE = r"(?s)\A(\x{FEFF}?(?:\s++|<\?.*?\?>|<!--.*?-->)*+)(<!DOCTYPE[^\[>]*+(?:\[.*?\]\s*+)?+>)"
+_PROLOG = r"\A\x{FEFF}?<\?xml\s[^>]*+>"
+_LITERAL = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
 _ENTITY = r"""<!ENTITY\s+([A-Za-z_:][\w:.-]*)\s+(?:"([^"<&%]*)"|'([^'<&%]*)')\s*>"""
+#: Most characters entities may add to a document; one that would grow more counts as not parsing.
+MOST_ADDED = 10_000_000
 
 
 def with_entities(xml: Column) -> Column:
-    """The document with its own plain entities written out.
+    """The document with its own plain entities written out, without its DOCTYPE; null if they would add too much.
 
     Entities made of other entities or of markup stay; a document using one does not parse.
     """
-    doctype = F.regexp_extract(xml, _DOCTYPE, 0)
+    doctype = F.regexp_extract(xml, _DOCTYPE, 2)
     column = lambda n: F.regexp_extract_all(doctype, F.lit(_ENTITY), F.lit(n))
     entities = F.arrays_zip(column(1).alias("name"), F.zip_with(column(2), column(3), lambda a, b: F.concat(a, b)).alias("value"))
-    body = F.regexp_replace(xml, _DOCTYPE, "")
-    written = F.aggregate(entities, body, lambda text, e: F.replace(text, F.concat(F.lit("&"), e["name"], F.lit(";")), e["value"]))
-    return F.when(xml.contains("<!ENTITY"), written).otherwise(xml)
+    body = F.regexp_replace(xml, _DOCTYPE, "$1")
 
+    def added(text: Column, e: Column) -> Column:
+        reference = F.concat(F.lit("&"), e["name"], F.lit(";"))
+        count = (F.length(text) - F.length(F.replace(text, reference, F.lit("")))) / F.length(reference)
+        return F.when(count * F.length(e["value"]) <= MOST_ADDED, F.replace(text, reference, e["value"]))
 
-def one_root(xml: Column) -> Column:
-    """Whether nothing opens after the first element has closed."""
-    tags = F.filter(F.regexp_extract_all(xml, F.lit(_TOKEN), F.lit(0)), lambda t: t.rlike(r"\A<[^!?]"))
-    step = lambda t: F.when(t.startswith("</"), -1).when(t.endswith("/>"), 0).otherwise(1)
+    written = let(entities, lambda es: F.aggregate(es, body, added))
+    return F.when(xml.contains("<!ENTITY"), written).when(xml.contains("<!DOCTYPE"), body).otherwise(xml)
 
-    def walk(state: Column, tag: Column) -> Column:
-        depth = state["depth"] + step(tag)
-        return F.struct(depth.alias("depth"), (depth <= 0).alias("closed"), (state["one"] & ~state["closed"]).alias("one"))
 
-    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("closed"), F.lit(True).alias("one"))
-    return F.aggregate(tags, start, walk)["one"]
+def _escaped(text: Column) -> Column:
+    for mark, reference in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(mark), F.lit(reference))
+    return text
 
 
-def well_formed_xml(xml: Column) -> Column:
-    """Whether the document parses; anything but space after its root also fails it."""
-    parsed = F.from_xml(
-        F.regexp_replace(xml, _DOCTYPE, ""),
-        "_corrupt_record string, _none string",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"},
-    )
-    return parsed["_corrupt_record"].isNull() & xml.rlike(r">\s*+\z") & one_root(xml)
-
-
-def _character(reference: Column) -> Column:
-    digits = F.regexp_extract(reference, r"&#[xX]?([0-9a-fA-F]++);", 1)
-    base16 = reference.rlike("^&#[xX]")
-    code = F.when(base16, F.conv(digits, 16, 16)).otherwise(F.conv(digits, 10, 16))
-    return F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
-
-
-def _resolve(text: Column) -> Column:
-    """Character references replaced by their characters, each exactly once."""
-    parts = F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0))
-    resolved = F.transform(parts, lambda p: (
-        F.when(~p.startswith("&") | (p == "&"), p)
-        .when(p == "&lt;", F.lit("<"))
-        .when(p == "&gt;", F.lit(">"))
-        .when(p == "&amp;", F.lit("&"))
-        .when(p == "&quot;", F.lit('"'))
-        .when(p == "&apos;", F.lit("'"))
-        .otherwise(_character(p))
-    ))
-    return F.when(text.contains("&"), F.array_join(resolved, "")).otherwise(text)
-
-
-def _token_text(token: Column) -> Column:
-    return (
-        F.when(token.startswith("<![CDATA["), F.substring(token, F.lit(10), F.length(token) - 12))
-        .when(token.startswith("<"), F.lit(_BREAK))
-        .otherwise(_resolve(token))
+def without_literals(xml: Column) -> Column:
+    """Literal sections written as escaped text: the path would take only the first of neighbouring ones."""
+    parts = F.zip_with(
+        F.split(xml, _LITERAL, -1), F.regexp_extract_all(xml, F.lit(_LITERAL), F.lit(0)),
+        lambda text, token: F.concat(text, F.coalesce(
+            F.when(token.startswith("<!["), _escaped(F.substring(token, F.lit(10), F.length(token) - 12))).otherwise(token), F.lit(""))),
     )
+    return F.when(xml.contains("<![CDATA["), F.array_join(parts, "")).otherwise(xml)
+
 
+def _wrapped(xml: Column) -> Column:
+    """The document inside an element named by its hash, without declaration, DOCTYPE and literal sections."""
+    body = F.regexp_replace(without_literals(with_entities(xml)), _PROLOG, "")
+    name = F.concat(F.lit("_"), F.sha1(xml))
+    return F.concat(F.lit("<"), name, F.lit(' one="1">'), body, F.lit("</"), name, F.lit(">"))
 
-def text_nodes(xml: Column) -> Column:
-    """Non-empty text nodes in document order; comments and instructions separate nodes."""
-    tokens = F.regexp_extract_all(xml, F.lit(_TOKEN), F.lit(0))
-    joined = F.array_join(F.transform(let(tokens, _root_tokens), _token_text), "")
-    return F.filter(F.split(joined, _BREAK, -1), lambda t: t != "")
 
+# The mark, then the text nodes, if the document is one element with nothing but space around it.
+_ONE = "/*[count(*) = 1][not(text()[normalize-space()])]"
+_PATH = f"{_ONE}/@one | {_ONE}/*//text()"
 
-def _root_tokens(tokens: Column) -> Column:
-    """From the first tag to the last: what stands around the root is no text of it."""
 
-    def cut(is_tag: Column) -> Column:
-        first = F.array_position(is_tag, True).cast("int")
-        behind = F.array_position(F.reverse(is_tag), True).cast("int") - 1
-        inside = F.slice(tokens, first, F.size(tokens) - behind - first + 1)
-        return F.when(first > 0, inside).otherwise(F.array().cast("array<string>"))
+def _text_nodes(xml: Column) -> Column:
+    """A mark and the text nodes in document order; null or empty if the document does not parse.
 
-    return let(F.transform(tokens, lambda t: t.rlike(r"\A<[^!?]")), cut)
+    Comments and instructions separate nodes.
+    """
+
+    def nodes(wrapped: Column) -> Column:
+        parsed = F.from_xml(wrapped, "_corrupt_record string, _none string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+        return F.when(parsed["_corrupt_record"].isNull(), F.xpath(wrapped, F.lit(_PATH)))
+
+    return let(_wrapped(xml), lambda wrapped: F.when(wrapped.isNotNull(), nodes(wrapped)))
+
+
+def well_formed_xml(xml: Column) -> Column:
+    """Whether the document parses; anything but space beside its root also fails it. Prefixes of names need not be declared."""
+    return F.coalesce(F.size(_text_nodes(xml)) > 0, F.lit(False))
 
 
 def xml_text(xml: Column) -> Column:
     """All text nodes joined by one space, line ends turned into spaces; null if malformed."""
 
-    def text_of(whole: Column) -> Column:
-        return F.when(well_formed_xml(whole), F.translate(F.array_join(text_nodes(whole), " "), "\n\r", "  "))
+    def text_of(nodes: Column) -> Column:
+        texts = F.slice(nodes, F.lit(2), F.size(nodes))
+        return F.when(F.size(nodes) > 0, F.translate(F.array_join(texts, " "), "\n\r", "  "))
 
-    return let(with_entities(xml), text_of)
+    return let(_text_nodes(xml), text_of)

@@ -7,6 +7,7 @@ import os
 import random
 import re
 import time
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,6 +127,33 @@ def test_xml_text(spark, xml, text):
     assert value(spark, xml, mk.xml_text) == text
 
 
+def test_xml_that_does_not_parse_costs_its_own_row(spark):
+    """Mutated documents: a text exactly if Python's parser takes the document, and never a failed job."""
+    rng = random.Random(11)
+    parts = ["<a>", "</a>", "<b x='1'>", "</b>", "<c/>", "text", "&amp;", "&#65;", "&#0;", "&nope;", "<!-- c -->", "<!-- a -- b -->", "<![CDATA[<q>]]>", "]]>", "<?pi y?>", " ", "\n", "é", "<", ">", "&",
+             '<d x="1" x="2"/>', "<e x=1/>", "<?xml version='1.0'?>", "<!DOCTYPE a>", "<g x='<'/>", "\x01", "</_", "<![CDATA["]
+    docs = ["<r>" + "".join(rng.choice(parts) for _ in range(rng.randrange(6))) + rng.choice(["</r>"] * 5 + ["", "</r><r/>", "</r>x"]) for _ in range(3000)]
+    docs += ["<a><![CDATA[1]]><![CDATA[2]]><!-- <![CDATA[ 3 ]]> -->4</a>", "", " ", "<a/>\n<!-- z -->\n", '\ufeff<?xml version="1.0" encoding="UTF-8"?><a>x</a>']
+    frame = spark.createDataFrame([(k, d) for k, d in enumerate(docs)], "k int, xml string")
+    got = {r.k: (r.text, r.good) for r in frame.select("k", mk.xml_text(F.col("xml")).alias("text"), mk.well_formed_xml(F.col("xml")).alias("good")).collect()}
+    parsed, wrong = 0, []
+    for k, doc in enumerate(docs):
+        try:
+            want = "".join(ElementTree.fromstring(doc.lstrip("\ufeff").encode()).itertext())
+        except ElementTree.ParseError:
+            want = None
+        text, good = got[k]
+        if not good == (text is not None) == (want is not None) or want is not None and text.replace(" ", "") != want.replace(" ", "").replace("\n", ""):
+            wrong.append((doc, text, want))
+        parsed += want is not None
+    assert wrong == [] and parsed > 300
+
+
+def test_entities_cannot_blow_up_a_document(spark):
+    bomb = '<!DOCTYPE a [<!ENTITY e "' + "x" * 100_000 + '">]><a>' + "&e;" * 1_000 + "</a>"
+    assert value(spark, bomb, mk.xml_text) is None and value(spark, bomb, mk.well_formed_xml) is False
+
+
 @pytest.mark.parametrize("name", ["a.txt", "A.TXT", ".bashrc", "..x", "x.", "a.b.c", "d.d/file", "d/.h.txt", "x..y", "...", "", "d/", "..a.b"])
 def test_names_equal_os_path(spark, name):
     row = spark.createDataFrame([(name,)], "t string").select(
