@@ -6,6 +6,7 @@ import hashlib
 import re
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ from exposcan.functions.text import strip
 from exposcan.operators.dedup import dedup_by_id
 
 
+#: Runs beside the first one before they are merged, and bytes up to which the first is not merged with them early.
+MOST_RUNS = 8
+LEAST_BYTES = 1 << 20
 _BLOCK = 64  # bytes of a block of SHA-256
 
 
@@ -71,13 +75,13 @@ def write_findings(
     writer.partitionBy("id_source").parquet(path)
 
 
-def merge_findings(target: DataFrame, batch: DataFrame, order: list[str]) -> DataFrame:
+def merge_findings(target: DataFrame, batch: DataFrame, order: list[str] | None) -> DataFrame:
     """The target after the batch: a batch row replaces the target row with its id.
 
     The target is only filtered by the batch's ids, so a small batch never shuffles it. Empty
-    ids replace nothing; they get keys of their own to stay off one reducer.
+    ids replace nothing; they get keys of their own to stay off one reducer. Without ``order`` the ids of the batch are unique.
     """
-    latest = dedup_by_id(batch, order).drop(*[c for c in order if c not in target.columns])
+    latest = batch if order is None else dedup_by_id(batch, order).drop(*[c for c in order if c not in target.columns])
     ids = latest.where(F.col("id") != "").select(F.col("id").alias("_key"))
     key = F.when(F.col("id") != "", F.col("id")).otherwise(
         F.concat(F.lit("empty "), F.xxhash64("email", "email_context", "from").cast("string"))
@@ -104,12 +108,40 @@ def latest_version(spark: SparkSession, root: str) -> int:
     return max((int(m[1]) for m in map(re.compile(r"published-(\d+)\Z").match, names) if m), default=0)
 
 
-def read_findings(spark: SparkSession, root: str) -> DataFrame:
-    pointer = f"{root}/published-{latest_version(spark, root)}"
-    named = spark.read.text(pointer).first()
-    if named is None:
+def _runs(spark: SparkSession, root: str, version: int) -> list[str]:
+    """The folders of a version, the oldest first."""
+    if not version:
+        return []
+    pointer = f"{root}/published-{version}"
+    named = [r["value"] for r in spark.read.text(pointer).collect()]  # a line per run, at most MOST_RUNS and one
+    if not named:
         raise RuntimeError(f"{pointer} is empty: its writer died while publishing; delete it to go back to the version before")
-    return spark.read.parquet(f"{root}/{named[0]}")
+    return named
+
+
+def _merged(spark: SparkSession, root: str, runs: list[str]) -> DataFrame:
+    """The rows that count of some runs: of each id those of the latest run that has it.
+
+    The later runs are merged by one aggregate; the first one is only filtered by their ids, so it is not shuffled while they are few.
+    """
+    first, *later = [spark.read.parquet(f"{root}/{run}").select(*fv.FINDING_FIELDS) for run in runs]
+    if not later:
+        return first
+    numbered = [rows.withColumn("_run", F.lit(n)) for n, rows in enumerate(later)]
+    batch = reduce(DataFrame.unionByName, numbered)
+    unkeyed = batch.where("id = ''").drop("_run")
+    latest = dedup_by_id(batch.where("id != ''"), ["_run"]).drop("_run")
+    return merge_findings(first, latest.unionByName(unkeyed), None)
+
+
+def read_findings(spark: SparkSession, root: str) -> DataFrame:
+    """The findings of the latest version, merged as they are read."""
+    return _merged(spark, root, _runs(spark, root, latest_version(spark, root)))
+
+
+def _bytes(spark: SparkSession, root: str, run: str) -> int:
+    path, fs = _folder(spark, root, run)
+    return fs.getContentSummary(path).getLength()
 
 
 def _publish(spark: SparkSession, root: str, version: int, data: str) -> None:
@@ -123,27 +155,41 @@ def _publish(spark: SparkSession, root: str, version: int, data: str) -> None:
     out.close()
 
 
+def _write_run(rows: DataFrame, path: str, max_rows_per_file: int, lookup: bool) -> None:
+    """Parquet; with a Bloom filter on the id for ``lookup``, so that only the row groups that may hold it are read."""
+    writer = rows.sortWithinPartitions("id").write.mode("errorifexists").option("maxRecordsPerFile", max_rows_per_file)
+    if lookup:
+        writer = writer.option("parquet.bloom.filter.enabled#id", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+    writer.parquet(path)
+
+
 def upsert_findings(
     batch: DataFrame, root: str, protection: Protection | None, order: list[str], max_rows_per_file: int = 2_000_000
 ) -> int:
     """Write the next version of the findings below ``root`` and return its number.
 
-    The batch is written first, so it is computed once. Every folder has a new name and none is ever
+    A version is a list of runs, merged when they are read: an upsert writes its batch as a run of its own and leaves the others where
+    they are. When there are ``MOST_RUNS`` beside the first, these are merged into one; when together they have half the bytes
+    of the first, all are. So each row is written again a few times only, however many batches come. Every folder has a new name and none is ever
     overwritten; of two writers that start from the same version the second to finish fails.
     """
     spark = batch.sparkSession
-    version, data = latest_version(spark, root), uuid.uuid4().hex
-    rows, staged = _protected(batch, protection, "findings"), f"{root}/batch-{data}"
-    dedup_by_id(rows, order).write.mode("errorifexists").parquet(staged)
-    latest = spark.read.schema(rows.schema).parquet(staged)
-    if version:
-        merged = merge_findings(read_findings(spark, root), latest, order)
-    else:
-        merged = latest.select(*fv.FINDING_FIELDS)
-    merged.write.mode("errorifexists").option("maxRecordsPerFile", max_rows_per_file).parquet(f"{root}/data-{data}")
-    path, fs = _folder(spark, root, f"batch-{data}")
-    fs.delete(path, True)
-    _publish(spark, root, version + 1, f"data-{data}")
+    version = latest_version(spark, root)
+    runs = _runs(spark, root, version)
+    rows = _protected(batch, protection, "findings")
+
+    def written(made: DataFrame, lookup: bool = False) -> str:
+        name = f"data-{uuid.uuid4().hex}"
+        _write_run(made, f"{root}/{name}", max_rows_per_file, lookup)
+        return name
+
+    # The filter is a fixed cost, which small runs are not worth.
+    runs.append(written(dedup_by_id(rows, order).select(*fv.FINDING_FIELDS), lookup=not runs))
+    if len(runs) > 1 and sum(_bytes(spark, root, run) for run in runs[1:]) * 2 >= _bytes(spark, root, runs[0]) > LEAST_BYTES:
+        runs = [written(_merged(spark, root, runs), lookup=True)]
+    elif len(runs) > MOST_RUNS:
+        runs = [runs[0], written(_merged(spark, root, runs[1:]))]
+    _publish(spark, root, version + 1, "\n".join(runs))
     return version + 1
 
 

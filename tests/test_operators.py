@@ -257,7 +257,30 @@ def test_upsert_versions(spark, tmp_path):
     assert rows(sinks.read_findings(spark, root).select("id", "email_context"), "id") == after
     (Path(root) / "data-9").mkdir()
     assert sinks.latest_version(spark, root) == 3
-    assert not [p for p in Path(root).iterdir() if p.name.startswith("batch-")]
+
+
+def test_an_upsert_writes_its_batch_only(spark, tmp_path, monkeypatch):
+    """Bytes written go with the batch, a lookup skips by Bloom filter, and merging runs changes no row."""
+    root = tmp_path / "index"
+    rows_of = lambda ids, mark: spark.createDataFrame([(f"{k:040x}", f"u{k}@x.cc", f"{mark} {k}" * 20, "x.cc", "f", 1, 0) for k in ids], FINDINGS)
+    size = lambda: {p: p.stat().st_size for p in root.rglob("*.parquet")}
+    monkeypatch.setattr(sinks, "LEAST_BYTES", 0)
+    sinks.upsert_findings(rows_of(range(20_000), "base"), str(root), sinks.RAW, ["seq"])
+    before, want = size(), {k: "base" for k in range(20_000)}
+    for n in range(12):
+        ids = [n, 20_000 + n, 30_000]
+        sinks.upsert_findings(rows_of(ids, f"b{n}"), str(root), sinks.RAW, ["seq"])
+        want |= {k: f"b{n}" for k in ids}
+        assert all(size()[p] == s for p, s in before.items())
+    added = sum(size().values()) - sum(before.values())
+    assert added < sum(before.values()) / 2
+    assert len(sinks._runs(spark, str(root), 13)) <= sinks.MOST_RUNS + 1
+    got = {int(r.id, 16): r.email_context.split(" ")[0] for r in sinks.read_findings(spark, str(root)).collect()}
+    assert got == want
+    sinks.upsert_findings(rows_of(range(15_000), "new"), str(root), sinks.RAW, ["seq"])
+    assert len(sinks._runs(spark, str(root), 14)) == 1
+    got = {int(r.id, 16): r.email_context.split(" ")[0] for r in sinks.read_findings(spark, str(root)).collect()}
+    assert got == want | {k: "new" for k in range(15_000)}
 
 
 def test_upsert_without_success_markers(spark, tmp_path):
