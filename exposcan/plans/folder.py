@@ -86,7 +86,7 @@ def run_folder(
     splits = materialise(named(splits).join(text, "path", "left_semi"))
     text_found = split_text_findings(splits)
     first = file_digests(splits).groupBy("digest").agg(F.min("path").alias("path")).select("path", F.lit("read").alias("state"))
-    text_states = text.join(first, "path", "left").select("path", F.coalesce("state", F.when(F.lit(True), "copy")).alias("state"))
+    text_states = text.join(first, "path", "left").select("path", F.coalesce("state", F.lit("copy")).alias("state"))
 
     cut = materialise(named(cut_csv(read_pieces(spark, directory).where(ext == "csv"))).join(csv, "path", "left_semi"))
     csv_found = csv_cut_findings(cut)
