@@ -16,19 +16,29 @@ from exposcan.llm.storage import settle
 #: No SQL trains dictionaries or walks automata; the stages are tested against brute force.
 ORACLE_SQL: str | None = None
 
+#: Rows that go to Python at a time. Some texts have 100,000 bytes, and a worker holds a batch several times over.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression-distance classifier does not reject."""
+    small_batches(spark)
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of similar ones."""
+    small_batches(spark)
     return jaccard.one_of_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that documents with smaller ids have too."""
+    small_batches(spark)
     return repeats.without_repeats(docs)
 
 
