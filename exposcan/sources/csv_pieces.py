@@ -13,8 +13,10 @@ interest is shuffled. A record has to fit into a value.
 from __future__ import annotations
 
 import re
+import sys
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,6 +24,10 @@ from pyspark.sql import functions as F
 from exposcan import fixed_values as fv
 from exposcan.functions.text import valid_utf8
 
+# The functions of this module go to the executors by value, so these need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+_HEAD = fv.HEAD_LINES
 #: Files whose quotes cross splits go to every task up to this number, a path and some numbers each.
 FEW_FILES = 10_000
 
@@ -142,7 +148,7 @@ def _cut(batches):
             state = {"inside": inside[0], "continued": inside[0], "n": 0, "first": block == 0, "head": []}
         for raw in lines:
             for line in text_lines(raw):
-                if len(state["head"]) < fv.HEAD_LINES:
+                if len(state["head"]) < _HEAD:
                     state["head"].append(line)
                 was = state["inside"]
                 state["inside"] = ends_inside(line, was)
@@ -188,7 +194,7 @@ def csv_heads(cut: DataFrame) -> DataFrame:
     """``path, head``: the first ten lines of each file, joined; a head may come from several splits."""
     splits = cut.where(F.col("kind") == _SPLIT).select("path", "block", "head")
     first = splits.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("block", "head"))).alias("heads"))
-    lines = F.slice(F.flatten(F.transform("heads", lambda h: h["head"])), 1, fv.HEAD_LINES)
+    lines = F.slice(F.flatten(F.transform("heads", lambda h: h["head"])), 1, _HEAD)
     return first.select("path", F.array_join(F.transform(lines, lambda x: valid_utf8(x.cast("string"))), "\n").alias("head"))
 
 

@@ -9,16 +9,21 @@ are listed through ``pyarrow.fs``, which knows no links.
 from __future__ import annotations
 
 import os
+import sys
 from collections import deque
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from exposcan.functions.ids import base_name, file_ext
 
+# The source goes to the executors by value, so these need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Folders the driver lists at most before it deals out what it has found.
 FOLDERS = 1_000
 NAME = "exposcan_listing"
