@@ -812,7 +812,8 @@ def folder_of_documents(spark, sf):
     """A text file per document; the English ones have a line of addresses."""
     text = F.when(F.col("lang") == "en", F.col("text")).otherwise(F.substring_index("text", '\n"Q ', 1))
     path = f"{folder(spark)}/dump"
-    t.texts(spark, sf).select(F.col("doc"), text.alias("value")).repartition(8, "doc").write.partitionBy("doc").text(path)
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    t.texts(spark, sf).select(F.col("doc"), text.alias("value")).repartition(tasks, "doc").write.partitionBy("doc").text(path)
     return path
 
 

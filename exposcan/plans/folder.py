@@ -82,13 +82,14 @@ def run_folder(
 
     ext = ids.file_ext(F.col("path"))
     of_text = [e for e, bucket in fv.BUCKET_OF_EXTENSION.items() if bucket == fv.TEXT_BUCKET]
-    splits = split_findings(read_pieces(spark, directory).where(ext.isin("", *of_text)))
+    pieces = read_pieces(spark, directory)  # for both kinds, as each reader lists the folder
+    splits = split_findings(pieces.where(ext.isin("", *of_text)))
     splits = materialise(named(splits).join(text, "path", "left_semi"))
     text_found = split_text_findings(splits)
     first = file_digests(splits).groupBy("digest").agg(F.min("path").alias("path")).select("path", F.lit("read").alias("state"))
     text_states = text.join(first, "path", "left").select("path", F.coalesce("state", F.lit("copy")).alias("state"))
 
-    cut = materialise(named(cut_csv(read_pieces(spark, directory).where(ext == "csv"))).join(csv, "path", "left_semi"))
+    cut = materialise(named(cut_csv(pieces.where(ext == "csv"))).join(csv, "path", "left_semi"))
     csv_found = csv_cut_findings(cut)
     contact = F.coalesce(sniff_csv_text(F.col("head")), F.lit(False))
     csv_states = csv.join(csv_heads(cut).select("path", contact.alias("contact")), "path", "left").select(

@@ -1,7 +1,8 @@
 """Listing of every file below a folder: hidden names and links too.
 
 Spark's file sources leave out names that start with ``.`` or ``_`` and follow links without telling. This one is a Python data source whose
-partitions are folders: the driver looks at folders only until there are enough of them to deal out, each task lists its own.
+partitions are folders: the driver looks at folders only until there are enough of them to deal out, each task lists its own. A folder may
+hold very many others, so when there are too many for a task each they are dealt out in groups.
 No file is opened. Executors have to see the folder under the same path; stores other than local folders
 are listed through ``pyarrow.fs``, which knows no links.
 """
@@ -24,8 +25,9 @@ from exposcan.functions.ids import base_name, file_ext
 # The source goes to the executors by value, so these need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Folders the driver lists at most before it deals out what it has found.
+#: Folders the driver lists at most before it deals out what it has found, and tasks they are dealt to.
 FOLDERS = 1_000
+GROUPS = 100
 NAME = "exposcan_listing"
 
 
@@ -35,6 +37,14 @@ class Folder(InputPartition):
         self.path, self.below = path, below  # below: with all folders below it
 
 
+class Folders(InputPartition):
+    """Several of them for one task."""
+
+    def __init__(self, folders: list[Folder]):
+        super().__init__(tuple(f.value for f in folders))
+        self.folders = folders
+
+
 def _entries(folder: str) -> tuple[list[tuple[str, int, bool]], list[str]]:
     """(path, size, is_link) of the files of a folder and the folders in it. A folder that has gone meanwhile is empty."""
     url = urlparse(folder)
@@ -76,15 +86,20 @@ class ListingReader(DataSourceReader):
         self.root, self.folders = root, folders
 
     def partitions(self) -> list[InputPartition]:
-        """Folders whose own files a task lists, and those it walks with all below them."""
+        """Folders whose own files a task lists, and those it walks with all below them; in groups if there are more than wanted."""
         listed, waiting = [], deque([self.root])
         while waiting and len(listed) + len(waiting) < self.folders:
             folder = waiting.popleft()
             listed.append(folder)
             waiting.extend(sorted(_entries(folder)[1]))
-        return [Folder(f, False) for f in listed] + [Folder(f, True) for f in waiting]
+        dealt = [Folder(f, False) for f in listed] + [Folder(f, True) for f in waiting]
+        return dealt if len(dealt) <= self.folders else [Folders(dealt[n::GROUPS]) for n in range(min(GROUPS, len(dealt)))]
+
+    def read(self, partition: Folder | Folders) -> Iterator[tuple[str, int, bool]]:
+        for folder in partition.folders if isinstance(partition, Folders) else [partition]:
+            yield from self._walk(folder)
 
-    def read(self, partition: Folder) -> Iterator[tuple[str, int, bool]]:
+    def _walk(self, partition: Folder) -> Iterator[tuple[str, int, bool]]:
         waiting = deque([partition.path])
         while waiting:
             files, folders = _entries(waiting.popleft())

@@ -51,6 +51,16 @@ def test_listing_is_dealt_by_folder(dump):
     assert list(ListingReader(str(dump / "missing"), 5).read(ListingReader(str(dump / "missing"), 5).partitions()[0])) == []
 
 
+def test_listing_of_many_folders_has_few_tasks(spark, tmp_path):
+    for n in range(1200):
+        (tmp_path / f"d{n}/below").mkdir(parents=True)
+        (tmp_path / f"d{n}/below/f.txt").write_text("x" * (n % 7))
+    (tmp_path / "top.txt").write_text("y")
+    assert len(ListingReader(str(tmp_path), 1000).partitions()) <= 1000
+    got = sorted((r["path"], r["size"]) for r in list_all_files(spark, str(tmp_path)).collect())
+    assert got == sorted([(str(tmp_path / f"d{n}/below/f.txt"), n % 7) for n in range(1200)] + [(str(tmp_path / "top.txt"), 1)])
+
+
 def test_run_from_a_folder(spark, dump, tmp_path):
     sources = spark.createDataFrame([(7, "leak", "2025", "2024")], SOURCES)
     root = str(tmp_path / "index")
