@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from checks import tables
 from exposcan.operators import dedup, joins, ordered, routing
 from exposcan.plans import lanes
 from exposcan.sources import files as fs
@@ -102,3 +103,8 @@ def test_hot_groups_give_the_same_rows(spark):
     found = text_lane(copies, "doc")
     assert found.count() == 2001
     assert found.where("email = 'u@example.com'").first().file == 0
+
+
+def test_replies_of_one_split_go_to_all_cores(spark):
+    assert tables.table(spark, SF, "customer").rdd.getNumPartitions() == 1
+    assert tables.replies(spark, SF).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
