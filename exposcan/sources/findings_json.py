@@ -10,6 +10,8 @@ from exposcan import fixed_values as fv
 from exposcan.functions.ids import finding_id_index
 from exposcan.functions.json_text import last_entries, last_members, one_json_value, python_json_text, python_str
 from exposcan.functions.text import let
+from exposcan.session import with_once
+
 
 def value_or_empty(keys: Column, members: Column, key: str) -> Column:
     """The value under ``key``; empty when the key is missing, null when it is null."""
@@ -86,10 +88,15 @@ def read_array_findings(files: DataFrame, file: str, json: str) -> DataFrame:
 
 
 def read_identity_json(files: DataFrame, file: str, json: str) -> DataFrame:
-    """``file`` and the identity fields of objects with an ``Information`` key; missing ones empty."""
-    members = one_json_value(F.col(json))
+    """``file`` and the identity fields of objects with an ``Information`` key; missing ones empty.
+
+    Every text is parsed once per step, whatever is filtered later: filters would be pushed below the parses and repeat them.
+    """
+    members = one_json_value(F.col("json"))
     text = let(members, lambda text: last_members(text, ["Information"]))["Information"]
-    rows = files.select(F.col(file).alias("file"), text.alias("text")).select("file", *identity_members(F.col("text")))
+    informed = with_once(files.select(F.col(file).alias("file"), F.col(json).alias("json")), text=text)
+    keys, info = identity_members(F.col("text"))
+    rows = with_once(informed.select("file", "text"), keys=keys, info=info)
     return identity_fields(rows.where(F.col("keys").isNotNull()), "file")
 
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from checks import tables
 from exposcan.operators import dedup, joins, ordered, routing
-from exposcan.plans import lanes
+from exposcan.plans import identity, lanes
 from exposcan.sources import files as fs
+from exposcan.sources import findings_json
 
 SF = "/root/testdata/sf0.001"
 
@@ -108,3 +109,11 @@ def test_hot_groups_give_the_same_rows(spark):
 def test_replies_of_one_split_go_to_all_cores(spark):
     assert tables.table(spark, SF, "customer").rdd.getNumPartitions() == 1
     assert tables.replies(spark, SF).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_a_filter_on_identity_fields_parses_nothing_again(spark):
+    files = spark.createDataFrame([("a", '{"Information":{"Name":"N"}}'), ("b", '{"Information":{}}'), ("c", '{"Information":1}')], "file string, json string")
+    read = findings_json.read_identity_json(files, "file", "json")
+    kept = identity.require_identity(read)
+    assert plan(kept).count("from_json") == plan(read).count("from_json")
+    assert [r.file for r in kept.collect()] == ["a"] and read.count() == 2
