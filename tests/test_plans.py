@@ -9,7 +9,7 @@ from checks import tables
 from exposcan.operators import dedup, joins, ordered, routing
 from exposcan.plans import identity, lanes
 from exposcan.sources import files as fs
-from exposcan.sources import findings_json
+from exposcan.sources import csv_pieces, findings_json
 
 SF = "/root/testdata/sf0.001"
 
@@ -117,3 +117,10 @@ def test_a_filter_on_identity_fields_parses_nothing_again(spark):
     kept = identity.require_identity(read)
     assert plan(kept).count("from_json") == plan(read).count("from_json")
     assert [r.file for r in kept.collect()] == ["a"] and read.count() == 2
+
+
+def test_csv_lines_are_summarised_once(spark, tmp_path):
+    """The summaries are done when the lines are cut: one pass is left, whatever joins the states."""
+    (tmp_path / "a.csv").write_text('name,note\n1,"u@example.com\nmore"\n' * 20)
+    cut = csv_pieces.cut_csv(fs.read_pieces(spark, str(tmp_path), "*.csv"))
+    assert plan(cut).count("MapInArrow") == 1 and cut.count() > 20
