@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from exposcan.llm import decontaminate, licenses, mixing, urls
+from exposcan.llm import decontaminate, licenses, mixing, storage, urls
 from tests.llm.fixtures import ascii_lower, docs, frame, prose
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -196,3 +196,14 @@ def test_empty_and_repeated(spark):
         kept.setdefault(r["doc_id"], []).append(r["kept"])
     assert all(len(v) == 2 and v[0] == v[1] for v in kept.values())
     assert mixing.mixture(frame(spark, [(None, "a b", None, None, 0)])).collect()[0]["n_tokens"] == 2
+
+
+# --- storage ----------------------------------------------------------------------------
+
+
+def test_settling_gives_native_memory_back(spark, monkeypatch):
+    said, trim = [], storage._trim
+    monkeypatch.setattr(storage, "_trim", lambda session: said.append(trim(session)))
+    assert storage.settle(spark.range(3), "three").count() == 3
+    assert len(said) == 1 and (said[0] is None or said[0].startswith("Trim"))
+    assert storage.settle(spark.range(3), "three", free=False).count() == 3 and len(said) == 1
