@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from exposcan.functions.text import lines_of
+from exposcan.functions.text import let, lines_of, replace_any
 from exposcan.session import spread, with_once
 from exposcan.sources.markup import page_text
 
@@ -122,7 +122,7 @@ def csv_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc, text``: a csv text per document, a record per line, every other line with a contact."""
     def record(line: Column, i: Column) -> Column:
         contact = F.when(F.length(line) % 2 == 0, F.concat(F.lit("c"), (i + 1).cast("string"), F.lit("@"), F.col("source"), F.lit(".example.org"))).otherwise("")
-        note = F.concat(F.lit('"'), F.replace(line, F.lit('"'), F.lit('""')), F.lit('"'))
+        note = F.concat(F.lit('"'), replace_any(line, '"', '""'), F.lit('"'))
         return F.concat((i + 1).cast("string"), F.lit(","), contact, F.lit(","), note)
 
     body = F.array_join(F.transform(lines_of(F.col("text")), record), "\n")
@@ -139,11 +139,14 @@ def sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines(spark, sf_dir).select("doc", "line_no", contact.alias("contact"), F.col("line").alias("note"))
 
 
+# Most texts hold these characters only, listed one by one as in ``emails._class``.
+_LEGAL = r"\A[" + "".join(f"\\x{code:02x}" for code in (0x09, 0x0A, 0x0D, *range(0x20, 0x100))) + r"]*+\z"
+
+
 def _escape(text: Column) -> Column:
-    legal = F.regexp_replace(text, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x{FFFE}\x{FFFF}]", "")
-    for mark, reference in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-        legal = F.replace(legal, F.lit(mark), F.lit(reference))
-    return legal
+    written = F.when(text.rlike(_LEGAL), text).otherwise(F.regexp_replace(text, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x{FFFE}\x{FFFF}]", ""))
+    return let(written, lambda w: let(replace_any(w, "&", "&amp;"), lambda a: let(
+        replace_any(a, "<", "&lt;"), lambda b: replace_any(b, ">", "&gt;"))))
 
 
 def xml_docs(spark: SparkSession, sf_dir: str) -> DataFrame:

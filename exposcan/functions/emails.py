@@ -212,9 +212,35 @@ def emails_in_context(text: Column, radius: int, pattern: AddressPattern = RFC)
 _MARK = chr(0xFDD0)
 
 
+# The first quote after the start of a chunk closes a quoted local part, if one is open there.
+_CLOSES = r'(?s)\A(?:[^"\\]|\\.)*+"[.@]'
+
+
+def _marked(text: Column, pattern: AddressPattern) -> Column:
+    """The text with a mark before and after each match.
+
+    Only lines with ``@`` are searched, or sentences if there is one line: no atom or label holds a line end, nor a point before a
+    space. Quoted parts and literals may; a quoted part that goes over the start of a chunk is closed by the chunk's first quote, and
+    a literal follows ``@`` or a point. Texts where that may be are searched whole.
+    """
+    mark = lambda t: _choose(t, pattern, lambda p: F.regexp_replace(t, p, f"{_MARK}$0{_MARK}"))
+    whole = mark(text)
+
+    def by(separator: str, cut: str) -> Column:
+        def searched(chunks: Column) -> Column:
+            open_quote = F.exists(chunks, lambda c: c.contains("@") & c.contains('"') & c.rlike(_CLOSES))
+            apart = F.transform(chunks, lambda c: F.when(c.contains("@"), mark(c)).otherwise(c))
+            return F.when(open_quote, whole).otherwise(F.array_join(apart, separator))
+
+        return let(F.split(text, cut, -1), searched)
+
+    literal = text.contains("@[") | text.contains(".[")
+    return F.when(literal, whole).when(text.contains("\n"), by("\n", "\n")).otherwise(by(". ", r"\. "))
+
+
 def _pieces(text: Column, pattern: AddressPattern) -> Column:
     """What lies between matches and the matches, in turn, by marking them in one pass."""
-    marked = _choose(text, pattern, lambda p: F.regexp_replace(text, p, f"{_MARK}$0{_MARK}"))
+    marked = _marked(text, pattern)
     paired = F.flatten(F.zip_with(_between(text, pattern), find_all(text, pattern), lambda g, m: F.array(g, m)))
     twice = F.slice(paired, F.lit(1), F.size(paired) - 1)
     return F.when(text.contains(_MARK), twice).otherwise(F.split(marked, _MARK, -1))

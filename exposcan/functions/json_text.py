@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from exposcan.functions.text import let, python_float
+from exposcan.functions.text import let, python_float, replace_any
 
 _STRICT = {"allowSingleQuotes": "false"}
 _ASCII = {"writeNonAsciiCharacterAsCodePoint": "true"}
 _ESCAPES = r"\\u[0-9A-F]{4}|\\.|[^\\]++"
+# Printable ASCII without quote and backslash, listed one by one as in ``emails._class``.
+_PLAIN = r"\A[" + "".join(f"\\x{code:02x}" for code in range(0x20, 0x7F) if chr(code) not in '"\\') + r"]*+\z"
 _TOKENS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[,:]|[^",:]++'
 
 
@@ -75,19 +77,21 @@ def _lower_escapes(quoted: Column) -> Column:
     lowered = F.array_join(
         F.transform(tokens, lambda t: F.when(t.startswith("\\u"), F.lower(t)).otherwise(t)), ""
     )
-    return F.when(quoted.contains("\\u"), lowered).otherwise(quoted)
+    # Without an escaped backslash, every backslash before a "u" starts such an escape.
+    code = lambda p: F.concat(F.lit("\\u"), F.lower(F.left(p, F.lit(4))), F.substring(p, F.lit(5), F.length(p)))
+    parts = F.array_join(F.transform(F.split(quoted, r"\\u", -1), lambda p, i: F.when(i == 0, p).otherwise(code(p))), "")
+    return F.when(~quoted.contains("\\u"), quoted).when(quoted.contains("\\\\"), lowered).otherwise(parts)
 
 
 def json_quote(text: Column) -> Column:
     """A JSON string as Python's ``json.dumps`` writes it: ASCII only, lower-case escapes."""
 
     def python_style(quoted: Column) -> Column:
-        return F.replace(_lower_escapes(quoted), F.lit("\x7f"), F.lit("\\u007f"))
+        return let(_lower_escapes(quoted), lambda lowered: replace_any(lowered, "\x7f", "\\u007f"))
 
     unlisted = lambda listed: F.substring(listed, F.lit(2), F.length(listed) - 2)
-    return let(let(F.to_json(F.array(text)), unlisted), lambda plain: F.when(
-        plain.rlike(r"[^ -~]|\\u"), let(let(F.to_json(F.array(text), _ASCII), unlisted), python_style)
-    ).otherwise(plain))
+    return F.when(text.rlike(_PLAIN), F.concat(F.lit('"'), text, F.lit('"'))).otherwise(
+        let(let(F.to_json(F.array(text), _ASCII), unlisted), python_style))
 
 
 def python_json_text(compact: Column) -> Column:

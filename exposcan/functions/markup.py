@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from exposcan.functions.text import let
+from exposcan.functions.text import let, newline_to_space, replace_any
 
 # Only space, instructions and comments may stand before it.
 _DOCTYPE = r"(?s)\A(\x{FEFF}?(?:\s++|<\?.*?\?>|<!--.*?-->)*+)(<!DOCTYPE[^\[>]*+(?:\[.*?\]\s*+)?+>)"
@@ -56,9 +56,15 @@ def without_literals(xml: Column) -> Column:
     return F.when(xml.contains("<![CDATA["), F.array_join(parts, "")).otherwise(xml)
 
 
+def _without_prolog(xml: Column) -> Column:
+    """The declaration ends at the first ``>``, so the pattern needs to see the text up to there only."""
+    head = F.concat(F.substring_index(xml, ">", 1), F.lit(">"))
+    return let(head, lambda h: F.when(h.rlike(_PROLOG) & xml.contains(">"), F.substring(xml, F.length(h) + 1, F.length(xml))).otherwise(xml))
+
+
 def _wrapped(xml: Column) -> Column:
     """The document inside an element named by its hash, without declaration, DOCTYPE and literal sections."""
-    body = F.regexp_replace(without_literals(with_entities(xml)), _PROLOG, "")
+    body = let(without_literals(with_entities(xml)), _without_prolog)
     name = F.concat(F.lit("_"), F.sha1(xml))
     return F.concat(F.lit("<"), name, F.lit(' one="1">'), body, F.lit("</"), name, F.lit(">"))
 
@@ -91,6 +97,7 @@ def xml_text(xml: Column) -> Column:
 
     def text_of(nodes: Column) -> Column:
         texts = F.slice(nodes, F.lit(2), F.size(nodes))
-        return F.when(F.size(nodes) > 0, F.translate(F.array_join(texts, " "), "\n\r", "  "))
+        spaced = let(F.array_join(texts, " "), lambda joined: let(newline_to_space(joined), lambda t: replace_any(t, "\r", " ")))
+        return F.when(F.size(nodes) > 0, spaced)
 
     return let(_text_nodes(xml), text_of)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from exposcan.functions.emails import RFC, SIMPLE, AddressPattern, has_email, simple_emails
+from exposcan.functions.emails import RFC, SIMPLE, AddressPattern, has_email
 from exposcan.functions.json_text import json_quote
 from exposcan.functions.text import let, newline_to_space, unix_newlines
 
@@ -31,6 +31,11 @@ def csv_rows(text: Column) -> Column:
     return F.filter(rows, lambda r, i: (i == 0) | (r != ""))
 
 
+def csv_header(text: Column) -> Column:
+    """The first of ``csv_rows``; reading stops there."""
+    return F.regexp_extract(unix_newlines(text), _RECORD, 1)
+
+
 def csv_cells(record: Column) -> Column:
     cells = F.regexp_extract_all(record, F.lit(_ONE_CELL), F.lit(0))
     read = F.transform(cells, lambda c: F.when(c.startswith('"'), _unquote(c)).otherwise(c))
@@ -38,6 +43,14 @@ def csv_cells(record: Column) -> Column:
 
 
 def _unquote(cell: Column) -> Column:
+    """Cells that end with the quote that closes them, which most do, are cut without patterns."""
+    doubled, quote = F.lit('""'), F.lit('"')
+    closed = lambda inner: F.when(~inner.contains('"'), inner).when(
+        ~F.replace(inner, doubled, F.lit("")).contains('"'), F.replace(inner, doubled, quote)).otherwise(_unquote_any(cell))
+    return F.when(cell.endswith('"'), let(F.substring(cell, F.lit(2), F.length(cell) - 2), closed)).otherwise(_unquote_any(cell))
+
+
+def _unquote_any(cell: Column) -> Column:
     inside = F.regexp_extract(cell, r'(?s)\A"([^"]*+(?:""[^"]*+)*+)', 1)
     after = F.regexp_extract(cell, r'(?s)\A"[^"]*+(?:""[^"]*+)*+"(.*)\z', 1)
     return F.concat(F.replace(inside, F.lit('""'), F.lit('"')), after)
@@ -79,6 +92,11 @@ def _holds_email(field: Column, pattern: AddressPattern) -> Column:
     return ~field["raw"] & has_email(field["value"], pattern)
 
 
+def may_have_email(fields: Column) -> Column:
+    """False only if no field holds an address."""
+    return F.exists(fields, lambda f: ~f["raw"] & F.coalesce(f["value"].contains("@"), F.lit(False)))
+
+
 def has_email_field(fields: Column, pattern: AddressPattern = SIMPLE) -> Column:
     return F.exists(fields, lambda f: _holds_email(f, pattern))
 
@@ -92,7 +110,7 @@ def first_email_field(fields: Column, whole_cell: bool) -> Column:
     hit = F.get(F.filter(fields, lambda f: _holds_email(f, pattern)), F.lit(0))
 
     def pick(f: Column) -> Column:
-        email = f["value"] if whole_cell else F.get(simple_emails(f["value"]), F.lit(0))
+        email = f["value"] if whole_cell else F.regexp_extract(f["value"], SIMPLE.plain, 0)
         return F.when(f.isNotNull(), F.struct(f["name"].alias("name"), email.alias("email")))
 
     return let(hit, pick)

@@ -24,23 +24,33 @@ def strip(text: Column) -> Column:
 
 
 def unix_newlines(text: Column) -> Column:
-    return F.regexp_replace(text, r"\r\n?", "\n")
+    return F.when(text.contains("\r"), F.regexp_replace(text, r"\r\n?", "\n")).otherwise(text)
+
+
+def without_last_newline(text: Column) -> Column:
+    """The text without its final newline, if it has one."""
+    return F.when(text.endswith("\n"), F.left(text, F.length(text) - 1)).otherwise(text)
 
 
 def lines_of(text: Column) -> Column:
     """Lines as a text-mode reader yields them: a final newline ends a line, it opens none."""
-    body = F.regexp_replace(unix_newlines(text), r"\n\z", "")
+    body = without_last_newline(unix_newlines(text))
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n", -1))
 
 
+def replace_any(text: Column, old: str, new: str) -> Column:
+    """``F.replace``, which compares at every byte, only for texts that hold ``old``."""
+    return F.when(text.contains(old), F.replace(text, F.lit(old), F.lit(new))).otherwise(text)
+
+
 def newline_to_space(text: Column) -> Column:
-    return F.translate(text, "\n", " ")
+    return replace_any(text, "\n", " ")
 
 
 def first_lines(text: Column, n: int) -> Column:
     """The first ``n`` lines joined by newlines; reading stops after line ``n``."""
     head = r"\A(?:[^\r\n]*+(?:\r\n?|\n)){0,%d}+[^\r\n]*+" % (n - 1)
-    return unix_newlines(F.regexp_extract(text, head, 0))
+    return F.when(text.contains("\r"), unix_newlines(F.regexp_extract(text, head, 0))).otherwise(F.substring_index(text, "\n", n))
 
 
 def valid_utf8(text: Column) -> Column:
@@ -70,12 +80,18 @@ def split_pages(text: Column) -> Column:
 
 def stripped_size(text: Column) -> Column:
     """Summary of a text piece that can be folded in order: see ``fold_sizes``."""
-    blank = strip(text) == ""
+    left = F.ltrim(text, F.lit(fv.WHITESPACE))
+
+    def cut(trimmed: Column) -> Column:
+        """Characters are counted only where bytes tell that there are fewer."""
+        fewer = F.octet_length(trimmed) < F.octet_length(text)
+        return F.when(fewer, F.length(text) - F.length(trimmed)).when(text.isNotNull(), 0).cast("bigint")
+
     return F.struct(
-        blank.alias("blank"),
+        (left == "").alias("blank"),
         F.length(text).cast("bigint").alias("n"),
-        (F.length(text) - F.length(F.ltrim(text, F.lit(fv.WHITESPACE)))).cast("bigint").alias("lead"),
-        (F.length(text) - F.length(F.rtrim(text, F.lit(fv.WHITESPACE)))).cast("bigint").alias("trail"),
+        cut(left).alias("lead"),
+        cut(F.rtrim(text, F.lit(fv.WHITESPACE))).alias("trail"),
     )
 
 

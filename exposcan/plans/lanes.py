@@ -17,7 +17,7 @@ from exposcan.functions.emails import RFC, emails_in_context, rfc_emails, valid_
 from exposcan.functions.json_text import python_json
 from exposcan.functions.line_contexts import line_contexts
 from exposcan.functions.markup import xml_text
-from exposcan.functions.tabular import clean_values, csv_cells, csv_columns, first_email_field, record_context
+from exposcan.functions.tabular import clean_values, csv_cells, csv_columns, first_email_field, may_have_email, record_context
 from exposcan.functions.digests import file_digest, line_terms, summed_terms
 from exposcan.functions.text import fold_sizes, let, lines_of, newline_to_space, strip, stripped_size, valid_utf8
 from exposcan.operators.dedup import first_per_email, last_per_email
@@ -194,6 +194,7 @@ def office_lane(blocks: DataFrame) -> DataFrame:
 
 def record_findings(records: DataFrame, whole_cell: bool, keep: Sequence[str] = ()) -> DataFrame:
     """``file, row_no, email, email_context, id`` of records that hold an address."""
+    records = records.where(may_have_email(F.col("fields")))
     cleaned = with_once(
         records.select("file", "row_no", *keep, F.col("fields").alias("read")), fields=clean_values(F.col("read"))
     ).drop("read")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exposcan.functions.ids import base_name, content_sha1, file_ext
-from exposcan.functions.text import lines_of, valid_utf8
+from exposcan.functions.text import lines_of, valid_utf8, without_last_newline
 
 SUFFIXES = {
     "csv": [".csv"],
@@ -72,7 +72,7 @@ def cut_pieces(files: DataFrame, file: str, text: str, lines_per_block: Column |
 
     Texts without ``@`` hold no finding and are left out.
     """
-    body = F.regexp_replace(F.col(text), r"\n\z", "")
+    body = without_last_newline(F.col(text))
     lines = F.when(F.col(text) == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n", -1))
     block = F.floor(F.col("pos") / lines_per_block) if lines_per_block is not None else F.lit(0).cast("bigint")
     return files.where(F.col(text).contains("@")).select(

@@ -39,12 +39,13 @@ def sheet_records(table: DataFrame, file: Column, row_no: Column, columns: list[
 
     As in the published reader, the type of a column is that of its file: a gap makes all whole numbers of the column floats
     there (``5`` becomes ``5.0``), booleans stay what they are. Gaps are found by one aggregate; files without any are joined
-    with nothing.
+    with nothing. Columns that cannot be null, by the schema, have none.
     """
     types = [table.schema[name].dataType for name in columns]
+    filled = [not table.schema[name].nullable for name in columns]
     cells = F.struct(*[F.col(f"`{name}`").alias(f"c{k}") for k, name in enumerate(columns)])
     rows = table.select(file.alias("file"), row_no.cast("bigint").alias("row_no"), cells.alias("cells"))
-    whole = [k for k, kind in enumerate(types) if isinstance(kind, T.IntegralType)]
+    whole = [k for k, kind in enumerate(types) if isinstance(kind, T.IntegralType) and not filled[k]]
     gaps = {}
     if whole:
         found = rows.groupBy("file").agg(F.array(*[F.bool_or(F.col(f"cells.c{k}").isNull()) for k in whole]).alias("gaps"))
@@ -58,7 +59,7 @@ def _cell(name: str, kind: T.DataType, column: Column, gap: Column | None) -> Co
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         missing, value, number = column.isNull() | F.isnan(column), python_float(column), True
     elif isinstance(kind, T.IntegralType):
-        missing, value, number = column.isNull(), F.when(gap, python_float(column)).otherwise(column.cast("string")), True
+        missing, value, number = column.isNull(), column.cast("string") if gap is None else F.when(gap, python_float(column)).otherwise(column.cast("string")), True
     elif isinstance(kind, T.BooleanType):
         missing, value, number = column.isNull(), column.cast("string"), True
     else:

@@ -65,6 +65,34 @@ def test_patterns_equal_python(spark):
         assert r["head"] == "\n".join(universal(text).split("\n")[:2])
 
 
+def test_addresses_of_lines_and_sentences_equal_python(spark):
+    """Quoted parts and literals that go over the end of a line or sentence, and points at it."""
+    tokens = ["a", ". ", ".", " ", "@", '"', "\\", "[", "]", "\n", "a@b.cc", '"x y"@y.z', '"x. y"@y.z', '".', '"@', "@[", "é", "a.b@c.d. "]
+    for kept, seed in ((tokens, 11), ([t for t in tokens if "\n" not in t], 12)):
+        texts = texts_of(kept, 4000, 25, seed)
+        for r in frame(spark, texts).select("i", em.emails_in_context(F.col("t"), 9).alias("found")).collect():
+            text = texts[r.i]
+            assert [(w.email, w.before, w.after) for w in r.found] == [
+                (m.group(), text[max(0, m.start() - 9):m.start()], text[m.end():m.end() + 9]) for m in re.finditer(fv.RFC_EMAIL, text)
+            ]
+
+
+def test_short_ways_equal_python(spark):
+    """JSON strings, heads and sizes of texts that need no pattern, and of those that do."""
+    tokens = ["a", "é", '"', "\\", "\\u", "u00E9", "中", "😀", "\x7f", "\x00", "\t", "\r", "\n", " ", "\u2003", "z/"]
+    texts = [*texts_of(tokens, 4000, 12, 13), "", "plain", "é", "\\", "\\u00C9", "É\\"]
+    c = F.col("t")
+    for r in frame(spark, texts).select("i", js.json_quote(c).alias("json"), tx.first_lines(c, 2).alias("head"), tx.lines_of(c).alias("lines"),
+                                        tx.newline_to_space(c).alias("spaced"), tx.stripped_size(c).alias("size")).collect():
+        text = texts[r.i]
+        assert r.json == json.dumps(text)
+        assert r["head"] == "\n".join(universal(text).split("\n")[:2])
+        assert r.lines == [line.rstrip("\n") for line in io.StringIO(universal(text))]
+        assert r.spaced == text.replace("\n", " ")
+        blank = not text.strip()
+        assert tuple(r.size) == (blank, len(text), len(text) - len(text.lstrip()), len(text) - len(text.rstrip()))
+
+
 @pytest.mark.parametrize("direct_work", [0, 100_000])
 def test_line_contexts_use_first_occurrence(spark, monkeypatch, direct_work):
     monkeypatch.setattr(lc, "_DIRECT_WORK", direct_work)

@@ -10,6 +10,7 @@ from exposcan.operators import dedup, joins, ordered, routing
 from exposcan.plans import identity, lanes
 from exposcan.sources import files as fs
 from exposcan.sources import csv_pieces, findings_json
+from exposcan.sources.records import sheet_records
 
 SF = "/root/testdata/sf0.001"
 
@@ -124,3 +125,18 @@ def test_csv_lines_are_summarised_once(spark, tmp_path):
     (tmp_path / "a.csv").write_text('name,note\n1,"u@example.com\nmore"\n' * 20)
     cut = csv_pieces.cut_csv(fs.read_pieces(spark, str(tmp_path), "*.csv"))
     assert plan(cut).count("MapInArrow") == 1 and cut.count() > 20
+
+
+def test_numbers_that_cannot_be_null_are_not_searched_for_gaps(spark):
+    texts = spark.createDataFrame([(1, "a\n\nb"), (2, "c")], "doc int, text string")
+    lines = texts.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    gaps = lines.withColumn("line_no", F.when(F.col("line") != "", F.col("line_no")))
+
+    def read(table):
+        records = sheet_records(table, F.col("doc"), F.col("line_no"), ["line_no", "line"])
+        numbers = records.select("file", F.col("fields")[0]["value"].alias("value")).collect()
+        return exchanges(records), sorted((r.file, r.value) for r in numbers)
+
+    assert read(lines) == (0, [(1, "0"), (1, "1"), (1, "2"), (2, "0")])
+    moved, numbers = read(gaps)
+    assert moved and numbers == [(1, ""), (1, "0.0"), (1, "2.0"), (2, "0")]
