@@ -154,6 +154,30 @@ def test_leaks(spark, monkeypatch):
     assert decontaminate.leaks(docs(spark, texts).filter("false"), bench).collect() == []
 
 
+def test_seeds_without_words_and_once_per_wording(spark, monkeypatch):
+    """What goes to every task does not grow with the ids a wording has, nor with words per seed; blocks are written one by one."""
+    rng = random.Random(16)
+    first, second = (" ".join(prose(rng, 40)) for _ in range(2))
+    tables = []
+
+    def kept(frame_, label, **how):
+        tables.append((label, frame_ := storage.settle(frame_, label, **how)))
+        return frame_
+
+    monkeypatch.setattr(decontaminate, "settle", kept)
+    texts = docs(spark, [first, second, f"{first} and {second}"])
+    for seeds, n_pairs in ((decontaminate.SEEDS, 0), (120, 2)):
+        monkeypatch.setattr(decontaminate, "SEEDS", seeds)
+        tables.clear()
+        # One id has both wordings.
+        bench = frame(spark, [*((k, first) for k in range(20)), (20, second), (20, first), (20, second)], "item_id long, text string")
+        got = decontaminate.leaks(texts, bench).collect()
+        assert sorted((r["doc_id"], r["item_id"]) for r in got) == sorted([*((d, k) for d in (0, 2) for k in range(21)), (1, 20)])
+        by_label = {label: t for label, t in tables}
+        assert set(by_label["seeds"].columns) == {"wording", "place", "hash"} and by_label["seeds"].count() == 2 * (40 - decontaminate.SPAN + 1) * len(decontaminate.MASKS)
+        assert sum(label == "pairs" for label, _ in tables) == n_pairs
+
+
 # --- mixing -----------------------------------------------------------------------------
 
 
