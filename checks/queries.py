@@ -757,22 +757,19 @@ P7 = f"""SELECT id, email, email_context, domain, "from", id_source FROM (SELECT
 
 
 def all_lanes(spark, sf):
+    """A lane at a time, so that what one holds on disk can go before the next one."""
     number = F.col("file") % 10
     file = F.col("file").cast("string")
     plain = F.concat(file, F.lit(".json"))
-    office = lanes.office_lane(t.blocks(spark, sf))
     office_lane = F.when(F.col("origin") == fv.PPTX_ORIGIN, "pptx").otherwise("docx")
     office_name = F.concat(F.lit("d"), file, F.lit(".json"))
     transformed = F.concat(F.lit("transformed_"), file, F.lit(".json"))
-    csv = lanes.csv_lane(t.csv_texts(spark, sf), "doc", "text")
-    return [
-        index.index_rows(lanes.text_lane(fs.cut_pieces(t.texts(spark, sf), "doc", "text")), "txt", plain, number),
-        index.index_rows(lanes.pdf_lane(t.pages(spark, sf)), "pdf", F.concat("origin", F.lit(".json")), number),
-        index.index_rows(office, office_lane, office_name, number),
-        index.index_rows(csv, "csv", transformed, number, F.col("row_no")),
-        index.index_rows(lanes.sheet_lane(sheet_records(spark, sf)), "xls", transformed, number, F.col("row_no")),
-        index.index_rows(lanes.xml_lane(t.xml_docs(spark, sf), "doc", "xml"), "xml", plain, number),
-    ]
+    yield index.index_rows(lanes.text_lane(fs.cut_pieces(t.texts(spark, sf), "doc", "text")), "txt", plain, number)
+    yield index.index_rows(lanes.pdf_lane(t.pages(spark, sf)), "pdf", F.concat("origin", F.lit(".json")), number)
+    yield index.index_rows(lanes.office_lane(t.blocks(spark, sf)), office_lane, office_name, number)
+    yield index.index_rows(lanes.csv_lane(t.csv_texts(spark, sf), "doc", "text"), "csv", transformed, number, F.col("row_no"))
+    yield index.index_rows(lanes.sheet_lane(sheet_records(spark, sf)), "xls", transformed, number, F.col("row_no"))
+    yield index.index_rows(lanes.xml_lane(t.xml_docs(spark, sf), "doc", "xml"), "xml", plain, number)
 
 
 @query("p7_index_all", P7)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -16,6 +17,7 @@ from exposcan.functions.emails import mask_emails
 from exposcan.functions.ids import parse_int
 from exposcan.functions.text import strip
 from exposcan.operators.dedup import dedup_by_id
+from exposcan.session import in_passes
 
 
 #: Runs beside the first one before they are merged, and bytes up to which the first is not merged with them early.
@@ -155,40 +157,45 @@ def _publish(spark: SparkSession, root: str, version: int, data: str) -> None:
     out.close()
 
 
-def _write_run(rows: DataFrame, path: str, max_rows_per_file: int, lookup: bool) -> None:
-    """Parquet; with a Bloom filter on the id for ``lookup``, so that only the row groups that may hold it are read."""
-    writer = rows.sortWithinPartitions("id").write.mode("errorifexists").option("maxRecordsPerFile", max_rows_per_file)
+def _write_run(rows: DataFrame, path: str, max_rows_per_file: int, lookup: bool, mode: str = "errorifexists") -> None:
+    """Compressed Parquet; with a Bloom filter on the id for ``lookup``, so that only the row groups that may hold it are read."""
+    writer = rows.sortWithinPartitions("id").write.mode(mode).option("compression", "zstd").option("maxRecordsPerFile", max_rows_per_file)
     if lookup:
         writer = writer.option("parquet.bloom.filter.enabled#id", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
     writer.parquet(path)
 
 
 def upsert_findings(
-    batch: DataFrame, root: str, protection: Protection | None, order: list[str], max_rows_per_file: int = 2_000_000
+    batch: DataFrame, root: str, protection: Protection | None, order: list[str], max_rows_per_file: int = 2_000_000, staged: bool = False
 ) -> int:
     """Write the next version of the findings below ``root`` and return its number.
 
     A version is a list of runs, merged when they are read: an upsert writes its batch as a run of its own and leaves the others where
     they are. When there are ``MOST_RUNS`` beside the first, these are merged into one; when together they have half the bytes
     of the first, all are. So each row is written again a few times only, however many batches come. Every folder has a new name and none is ever
-    overwritten; of two writers that start from the same version the second to finish fails.
+    overwritten; of two writers that start from the same version the second to finish fails. A batch that is ``staged``, an extract written
+    before, goes in passes by id if it is large.
     """
     spark = batch.sparkSession
     version = latest_version(spark, root)
     runs = _runs(spark, root, version)
-    rows = _protected(batch, protection, "findings")
 
-    def written(made: DataFrame, lookup: bool = False) -> str:
-        name = f"data-{uuid.uuid4().hex}"
-        _write_run(made, f"{root}/{name}", max_rows_per_file, lookup)
+    def latest(some: DataFrame) -> DataFrame:
+        return dedup_by_id(_protected(some, protection, "findings"), order).select(*fv.FINDING_FIELDS)
+
+    def written(passes: Iterable[DataFrame], lookup: bool = False) -> str:
+        name, mode = f"data-{uuid.uuid4().hex}", "errorifexists"
+        for rows in passes:
+            _write_run(rows, f"{root}/{name}", max_rows_per_file, lookup, mode)
+            mode = "append"
         return name
 
     # The filter is a fixed cost, which small runs are not worth.
-    runs.append(written(dedup_by_id(rows, order).select(*fv.FINDING_FIELDS), lookup=not runs))
+    runs.append(written(in_passes(batch, "id", latest) if staged else [latest(batch)], lookup=not runs))
     if len(runs) > 1 and sum(_bytes(spark, root, run) for run in runs[1:]) * 2 >= _bytes(spark, root, runs[0]) > LEAST_BYTES:
-        runs = [written(_merged(spark, root, runs), lookup=True)]
+        runs = [written([_merged(spark, root, runs)], lookup=True)]
     elif len(runs) > MOST_RUNS:
-        runs = [runs[0], written(_merged(spark, root, runs[1:]))]
+        runs = [runs[0], written([_merged(spark, root, runs[1:])])]
     _publish(spark, root, version + 1, "\n".join(runs))
     return version + 1
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,7 @@ from exposcan.functions import ids
 from exposcan.operators.dedup import dedup_by_id, lane_rank
 from exposcan.operators.joins import attach_source
 from exposcan.operators.sinks import Protection, upsert_findings
+from exposcan.session import dropping, materialise_all
 
 ORDER = ["lane", "file", "seq"]
 
@@ -50,7 +52,19 @@ def index_all(*lanes: DataFrame) -> DataFrame:
     return dedup_by_id(union_lanes(*lanes), ORDER).select(*fv.FINDING_FIELDS)
 
 
-def index_run(lanes: list[DataFrame], sources: DataFrame, root: str, protection: Protection | None) -> int:
-    """All lanes' findings of registered sources, upserted into the index below ``root``: its new version."""
-    found = attach_source(union_lanes(*lanes), sources)
-    return upsert_findings(found.select(*fv.FINDING_FIELDS, *ORDER), root, protection, ORDER)
+def index_run(lanes: Iterable[DataFrame], sources: DataFrame, root: str, protection: Protection | None) -> int:
+    """All lanes' findings of registered sources, upserted into the index below ``root``: its new version.
+
+    Several lanes are written one after the other, so that the shuffles of one are on disk at a time. Extracts that an iterator makes for
+    a lane go when that lane is written, and all of it when the index is.
+    """
+    spark = sources.sparkSession
+
+    def found(lane: DataFrame) -> DataFrame:
+        return attach_source(lane, sources).select(*fv.FINDING_FIELDS, *ORDER)
+
+    if isinstance(lanes, list) and len(lanes) == 1:
+        return upsert_findings(found(lanes[0]), root, protection, ORDER)
+    with dropping(spark):
+        rows = materialise_all(spark, map(found, lanes))
+        return upsert_findings(rows, root, protection, ORDER, staged=True)

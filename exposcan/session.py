@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -105,6 +105,18 @@ def materialise(small: DataFrame) -> DataFrame:
     return spark.read.schema(small.schema).parquet(path)
 
 
+def materialise_all(spark: SparkSession, frames: Iterable[DataFrame]) -> DataFrame:
+    """One extract of several frames of one schema, written one after the other; what an iterator materialises for a frame goes with it."""
+    path, left, schema = _extract(spark), iter(frames), None
+    while True:
+        with dropping(spark):
+            if (frame := next(left, None)) is None:
+                return spark.read.schema(schema).parquet(path)
+            schema = frame.schema
+            write_compressed(frame, path, "append")
+            del frame
+
+
 def in_passes(extract: DataFrame, key: str, step: Callable[[DataFrame], DataFrame]) -> Iterator[DataFrame]:
     """``step`` of all rows of a materialised extract, or of a large one part by part, so that the shuffles of one part are on disk at a time.
 
