@@ -66,6 +66,21 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < 4 * cores else scan
 
 
+@contextmanager
+def many_files(spark: SparkSession):
+    """For folders of very many small files: listed in some tasks per core, not one per folder, and read by hundreds in a task, not by a few."""
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    wanted = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(tasks), "spark.sql.files.openCostInBytes": str(256 << 10)}
+    before = {name: spark.conf.get(name) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def with_once(frame: DataFrame, **columns: Column) -> DataFrame:
     """Add costly columns so that they are computed once per row.
 
